@@ -110,3 +110,18 @@ def bit_is_set(bitmap: Column, at: Column) -> Column:
     position = F.bitmap_bit_position(at)
     byte = F.conv(F.hex(F.substring(bitmap, (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return F.coalesce(F.call_function("shiftright", byte, (position % 8).cast("int")) % 2 == 1, F.lit(False))
+
+
+PROBE_BITS = 24
+
+
+def without_keys(docs: DataFrame, keys: DataFrame, key: str, bits: int = PROBE_BITS) -> DataFrame:
+    """Rows of ``docs`` whose key isn't among ``keys`` (one column). Rows that a fixed-size bit table clears pass
+    straight through; only the others, whole rows, are shuffled for the exact anti join. Null keys stay."""
+    gone = cut(keys.select(F.col(key).alias("_gone")).filter("_gone is not null").distinct())
+    probe = F.broadcast(bit_table(gone.select(slot(F.xxhash64("_gone"), bits).alias("slot")), bits))
+    rows = docs.select(F.struct("*").alias("_in"), slot(F.xxhash64(docs[key]), bits).alias("_at"))
+    rows = rows.join(probe, F.bitmap_bucket_number("_at") == F.col("bucket"), "left")
+    maybe = F.coalesce(bit_is_set(F.col("bitmap"), F.col("_at")), F.lit(False))
+    stays = rows.filter(maybe).join(gone, F.col(f"_in.{key}") == F.col("_gone"), "left_anti")
+    return rows.filter(~maybe).select("_in.*").unionByName(stays.select("_in.*"))

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrix.llm import exact_dedup, mixture, url_filter
+from papyrix.llm import exact_dedup, mixture, near_dedup, url_filter
 from papyrix.llm.common import table
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80).drop("set_id")
+
+
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents")).drop("repetitions")
 
@@ -26,6 +30,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op7_mixture": op7_mixture,
     "op9_url_filter": op9_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
@@ -50,6 +55,18 @@ def _shrunk_sql(name: str, keys: str, parents: str, on: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op1_near_dedup": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array({_NORMAL}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS s FROM w),
+c AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM s) WHERE len(s) > 0 GROUP BY s),
+e AS (SELECT rep, n, unnest(s) AS x FROM c),
+p AS (SELECT a.rep AS a, b.rep AS b FROM e a JOIN e b ON a.x = b.x AND a.rep < b.rep AND least(a.n, b.n) * 100 >= 80 * greatest(a.n, b.n)
+    GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+l AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT rep AS v, rep AS u FROM c UNION SELECT r.v, l.b FROM r JOIN l ON r.u = l.a),
+k AS (SELECT v, min(u) AS label FROM r GROUP BY v)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(label, s.doc_id) AS component_id, s.doc_id = coalesce(label, s.doc_id) AS kept
+FROM s LEFT JOIN c ON list_sort(s.s) = c.s LEFT JOIN k ON k.v = c.rep""",
     "op7_mixture": r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
     md5(concat_ws('|', 'mixture-1', coalesce(doc_id::VARCHAR, ''))) AS ord FROM documents),
