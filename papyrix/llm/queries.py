@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrix.llm import exact_dedup, mixture, near_dedup, url_filter
+from papyrix.llm import decontaminate, exact_dedup, mixture, near_dedup, url_filter
 from papyrix.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80).drop("set_id")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents")).drop("repetitions")
 
@@ -31,6 +35,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op6_decontaminate": op6_decontaminate,
     "op7_mixture": op7_mixture,
     "op9_url_filter": op9_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
@@ -67,6 +72,13 @@ r AS (SELECT rep AS v, rep AS u FROM c UNION SELECT r.v, l.b FROM r JOIN l ON r.
 k AS (SELECT v, min(u) AS label FROM r GROUP BY v)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(label, s.doc_id) AS component_id, s.doc_id = coalesce(label, s.doc_id) AS kept
 FROM s LEFT JOIN c ON list_sort(s.s) = c.s LEFT JOIN k ON k.v = c.rep""",
+    "op6_decontaminate": rf"""
+WITH w AS (SELECT 'd' AS t, doc_id AS id, list_filter(regexp_split_to_array({_NORMAL}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+    UNION ALL SELECT 'i', item_id, list_filter(regexp_split_to_array({_NORMAL}, '[\x20\x09-\x0D]+'), lambda x: x <> '') FROM benchmark),
+i AS (SELECT id AS item_id, least(5, len(w)) AS k, list_distinct([array_to_string(w[j:j + least(5, len(w)) - 1], ' ') FOR j IN range(1, len(w) - least(5, len(w)) + 2)]) AS s FROM w WHERE t = 'i' AND len(w) > 0),
+x AS (SELECT item_id, len(s) AS n, k, unnest(s) AS x FROM i),
+d AS (SELECT id AS doc_id, k, unnest(list_distinct([array_to_string(w[j:j + k - 1], ' ') FOR j IN range(1, len(w) - k + 2)])) AS x FROM w, (SELECT DISTINCT k FROM i) WHERE t = 'd' AND len(w) >= k)
+SELECT doc_id, item_id, count(DISTINCT x)::BIGINT AS shared, n::BIGINT AS n_item FROM d JOIN x USING (k, x) GROUP BY doc_id, item_id, n HAVING 100 * count(DISTINCT x) >= 80 * n""",
     "op7_mixture": r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
     md5(concat_ws('|', 'mixture-1', coalesce(doc_id::VARCHAR, ''))) AS ord FROM documents),
