@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrix.llm import decontaminate, exact_dedup, mixture, near_dedup, url_filter
+from papyrix.llm import decontaminate, exact_dedup, language_id, mixture, near_dedup, url_filter
 from papyrix.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80).drop("set_id")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,6 +39,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_language_id": op2_language_id,
     "op6_decontaminate": op6_decontaminate,
     "op7_mixture": op7_mixture,
     "op9_url_filter": op9_url_filter,
