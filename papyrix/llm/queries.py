@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrix.llm import decontaminate, exact_dedup, language_id, mixture, near_dedup, url_filter
+from papyrix.llm import decontaminate, exact_dedup, html_text, language_id, mixture, near_dedup, secret_scan, substring_dedup, url_filter
 from papyrix.llm.common import table
 
 
@@ -19,6 +19,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -27,6 +35,10 @@ def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents")).drop("repetitions")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is bad if the labels of the same number say quality 0."""
     bad = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
@@ -40,8 +52,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_language_id": op2_language_id,
+    "op3_secret_scan": op3_secret_scan,
+    "op5_html_text": op5_html_text,
     "op6_decontaminate": op6_decontaminate,
     "op7_mixture": op7_mixture,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
 }
