@@ -98,12 +98,13 @@ def judge(pages: DataFrame, outcomes: DataFrame, key: str = "page_id", url: str
     parsed = pages.select(F.col(key).alias("_key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     labelled = parsed.select("_key", "host").join(outcomes.select(F.col(key).alias("_key"), F.col("bad")), "_key")
     known = host_reputation(labelled, z)
-    out = parsed.withColumn("suffix", suffix_of(F.col("host"))).withColumn("domain", domain_of(F.col("host")))
+    # the levels meet at distinct hosts; pages are joined once, by host
+    hosts = parsed.select("host").distinct().withColumn("suffix", suffix_of(F.col("host"))).withColumn("domain", domain_of(F.col("host")))
     for level in ("host", "domain", "suffix"):
         side = known.filter(F.col("level") == level).select(F.col("name").alias(level), F.struct("mean", "bound").alias(f"_{level}"))
-        out = out.join(side, level, "left")
-    found = F.coalesce("_host", "_domain", "_suffix")
+        hosts = hosts.join(side, level, "left")
+    out = parsed.join(hosts.select("host", F.coalesce("_host", "_domain", "_suffix").alias("_found")), "host")
     match = matching_rule(F.col("host"), F.col("path"), rules)
-    out = out.withColumn("_found", found).withColumn("_match", match)
+    out = out.withColumn("_match", match)
     verdict = F.coalesce(F.col("_match.verdict"), F.when(F.col("_found.bound") > limit, "block").otherwise("allow"))
     return out.select(F.col("_key").alias(key), "host", "path", F.col("_match.rule").alias("rule"), verdict.alias("verdict"), F.col("_found.mean").alias("bad_rate"), F.col("_found.bound").alias("bad_bound"))
