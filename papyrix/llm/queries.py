@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrix.llm import decontaminate, exact_dedup, html_text, language_id, mixture, near_dedup, secret_scan, substring_dedup, url_filter
+from papyrix.llm import decontaminate, exact_dedup, html_text, language_id, mixture, near_dedup, secret_scan, substring_dedup, suffix_tree_lm, url_filter
 from papyrix.llm.common import table
 
 
@@ -23,6 +23,13 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.bucket("doc_id", 7) == 2
+    out = suffix_tree_lm.score(docs, docs.filter(~held_out))
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -53,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_language_id": op2_language_id,
     "op3_secret_scan": op3_secret_scan,
+    "op4_suffix_tree_lm": op4_suffix_tree_lm,
     "op5_html_text": op5_html_text,
     "op6_decontaminate": op6_decontaminate,
     "op7_mixture": op7_mixture,
