@@ -17,17 +17,19 @@ score 0. Null languages don't train. Repeated keys are sampled together. An empt
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-LETTERS = regex.compile(r"\p{L}+")
+from papyrix.llm.common import text_batches
+
+LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 4
 MAX_DOCS = 20_000
 MAX_WORDS = 50_000
@@ -38,6 +40,7 @@ UNSEEN = 1.0
 PRIOR = 0.5
 
 _FLUSH = 300_000
+PIECE = 4 << 20
 
 
 def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -93,7 +96,8 @@ class LanguageModel:
                 rows[seen[w], column] += c
         return seen, np.log10(rows / rows.sum(axis=0)) if seen else rows
 
-    def _backed_off(self, part: str) -> np.ndarray:
+    def part(self, part: str) -> np.ndarray:
+        """Scores of up to LONGEST characters: of the longest n-grams inside that are known."""
         for size in range(min(LONGEST, len(part)), 0, -1):
             known, rows = self.grams[size - 1]
             inner = [known[g] for i in range(len(part) - size + 1) if (g := part[i : i + size]) in known]
@@ -101,46 +105,51 @@ class LanguageModel:
                 return rows[inner].mean(axis=0)
         return self.unknown
 
-    def word(self, word: str) -> np.ndarray:
-        """Log10 frequencies by language, less their mean: what the word says for and against each."""
-        at = self.words[0].get(word)
-        if at is not None:
-            known = self.words[1][at]
-        else:
-            pieces = [self._backed_off(p) for p in parts(word, LONGEST)]
-            known = sum(pieces) / len(pieces) * UNSEEN
-        return known - known.mean() if len(known) else known
-
 
-class WordScores(dict):
-    """Scores of the words met so far, with a bound on what is remembered."""
+class TextScores:
+    """Sums of word scores over texts. Unseen words are scored a batch at a time; what is remembered is bounded."""
 
-    LIMIT = 200_000
+    LIMIT = 300_000
 
     def __init__(self, model: LanguageModel):
-        super().__init__()
-        self.model, self.rows = model, []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = len(self.rows)
-        self.rows.append(self.model.word(word))
-        return self[word]
-
-    def of(self, text: str) -> np.ndarray | None:
-        """Sum over the words of a text; None if it has none."""
-        words = LETTERS.findall(text.lower())
-        if not words:
-            return None
-        if len(self.rows) > self.LIMIT:
-            self.clear()
-            self.rows.clear()
-            self.__dict__.pop("_matrix", None)
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        matrix = self.__dict__.get("_matrix")
-        if matrix is None or len(matrix) < len(self.rows):
-            new = np.array(self.rows[0 if matrix is None else len(matrix) :])
-            self._matrix = matrix = new if matrix is None else np.concatenate([matrix, new])
-        return matrix[at].sum(axis=0) / math.sqrt(len(words))
+        self.model = model
+        self.known = centred(model.words[1])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index, self.rows = dict(self.model.words[0]), self.known
+        self.parts: dict[str, int] = {}
+        self.part_rows: list[np.ndarray] = []
+
+    def _part(self, part: str) -> int:
+        at = self.parts[part] = len(self.part_rows)
+        self.part_rows.append(self.model.part(part))
+        return at
+
+    def _learn(self, unseen: list[str]) -> None:
+        pieces = [parts(w, LONGEST) for w in unseen]
+        known = self.parts
+        at = [known[p] if p in known else self._part(p) for of in pieces for p in of]
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        sums = np.add.reduceat(np.array(self.part_rows)[at], np.concatenate([[0], np.cumsum(lengths)[:-1]]))
+        self.index.update(zip(unseen, range(len(self.rows), len(self.rows) + len(unseen))))
+        self.rows = np.concatenate([self.rows, centred(sums / lengths[:, None] * UNSEEN)])
+
+    def of(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """For each text its sum, scaled by the root of its number of words; None if it has no letter."""
+        words = [LETTERS.findall(t.lower()) if t else [] for t in texts]
+        if len(self.rows) > len(self.known) + self.LIMIT:
+            self._forget()
+        unseen = list(dict.fromkeys(w for of in words for w in of if w not in self.index))
+        if unseen:
+            self._learn(unseen)
+        look = self.index.__getitem__
+        return [self.rows[np.fromiter(map(look, of), np.int64, len(of))].sum(axis=0) / math.sqrt(len(of)) if of else None for of in words]
+
+
+def centred(rows: np.ndarray) -> np.ndarray:
+    """Log frequencies less their mean: what a word says for and against each language."""
+    return rows - rows.mean(axis=1, keepdims=True) if rows.size else rows
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS) -> LanguageModel:
@@ -161,11 +170,10 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        scores = WordScores(model)
-        for batch in batches:
+        scores = TextScores(model)
+        for batch in text_batches(batches, PIECE):
             names, sure = [], []
-            for value in batch.column(1):
-                sums = scores.of(value.as_py()) if value.is_valid and model.languages else None
+            for sums in scores.of(batch.column(1).to_pylist()) if model.languages else [None] * batch.num_rows:
                 if sums is None:
                     names.append(UNDETERMINED)
                     sure.append(0.0)
@@ -196,17 +204,16 @@ def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     """The rows of ``docs`` whose language is found with a score of ``min_score`` or more; all columns."""
     model = train(docs, key, text, lang)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [f.name for f in docs.schema.fields]
-    at = fields.index(text)
+    names = docs.columns
+    # the text goes second, where text_batches() looks; one more column first, as it may be the only one
+    order = [F.lit(0).alias("_first"), F.col(text).alias("_second"), *[F.col(c) for c in names]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        scores = WordScores(model)
-        for batch in batches:
-            keep = []
-            for value in batch.column(at):
-                sums = scores.of(value.as_py()) if value.is_valid and model.languages else None
-                keep.append(sums is not None and 1 / (10.0 ** np.maximum(sums - sums.max(), -300)).sum() >= min_score)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        scores = TextScores(model)
+        for batch in text_batches(batches, PIECE):
+            found = scores.of(batch.column(1).to_pylist()) if model.languages else [None] * batch.num_rows
+            keep = [sums is not None and 1 / (10.0 ** np.maximum(sums - sums.max(), -300)).sum() >= min_score for sums in found]
+            yield pa.RecordBatch.from_arrays(batch.columns[2:], names).filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.select(order).mapInArrow(run, docs.schema)
