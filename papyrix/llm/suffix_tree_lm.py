@@ -39,8 +39,8 @@ FREQUENT = 1 << 19
 
 _U = np.uint64
 _END = b"\n"
-_PIECE = 4 << 20
-_HELD = 1_500_000
+_PIECE = 1 << 20
+_HELD = 1_000_000
 _KIND_GRAM, _KIND_WORD = 0, 1
 
 
