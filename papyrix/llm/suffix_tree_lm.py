@@ -147,6 +147,28 @@ class SuffixTree:
         return p
 
 
+class GramScores:
+    """Log10 probabilities of grams met so far, sorted; what is remembered is bounded."""
+
+    def __init__(self, tree: SuffixTree):
+        self.tree = tree
+        self.grams, self.logs = np.zeros(0, _U), np.zeros(0)
+
+    def of(self, different: np.ndarray) -> np.ndarray:
+        """different: sorted distinct grams."""
+        if len(self.grams) > _HELD:
+            self.grams, self.logs = self.grams[:0], self.logs[:0]
+        at = np.searchsorted(self.grams, different)
+        new = np.ones(len(different), bool)
+        inside = at < len(self.grams)
+        new[inside] = self.grams[at[inside]] != different[inside]
+        if new.any():
+            made = np.log10(self.tree.probability(different[new]))
+            self.grams, self.logs = np.insert(self.grams, at[new], different[new]), np.insert(self.logs, at[new], made)
+            at = np.searchsorted(self.grams, different)
+        return self.logs[at]
+
+
 def context_gains(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     """grams: (value, n). All contexts' entries (d, key, context, n), and each context's gain over its suffix (d, context, gain)."""
     level = grams.select(F.col("value").alias("key"), "n")
@@ -213,11 +235,11 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, values, logs = shared.value
-        hashes = WordHashes()
+        hashes, scores = WordHashes(), GramScores(tree)
         for piece in text_batches(batches, _PIECE):
             s = stream(v.as_py() for v in piece.column(1))
             different, at = np.unique(s.grams, return_inverse=True)
-            logp = np.add.reduceat(np.log10(tree.probability(different))[at], s.starts)
+            logp = np.add.reduceat(scores.of(different)[at], s.starts)
             tokens, known, base, rare = [], [], [], []
             for w in s.words:
                 h = hashes.of([*w, _END])
