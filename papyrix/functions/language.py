@@ -1,7 +1,6 @@
 """Language tags by a naive Bayes model over character n-grams, made from labelled texts.
 
-The model is a table (gram, lang, score); its vocabulary is bounded, so it can be broadcast, and documents are scored by
-joining the grams of a bounded sample of their letters. A text of fewer than MIN_LETTERS letters has no tag and
+The model's vocabulary is bounded, so it can be broadcast; texts are scored whole. A text of fewer than MIN_LETTERS letters has no tag and
 confidence 0; one below MIN_CONFIDENCE has no tag but keeps its confidence.
 """
 
@@ -9,10 +8,12 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,18 +23,29 @@ SIZE, VOCABULARY = 3, 20_000
 _TAG = T.StructType().add("language", "string").add("confidence", "double")
 
 
-def grams(text: Column, size: int = SIZE) -> Column:
-    clean = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "), F.lit(" "))
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(clean) - size + 1, F.lit(1))), lambda i: F.substring(clean, i, F.lit(size)))
+def grams(text: str | None) -> list[str]:
+    """Runs of SIZE characters of the letters of a text, words marked by one space."""
+    clean = " " + " ".join("".join(c if c.isalpha() else " " for c in (text or "").lower()).split()) + " "
+    return [clean[i : i + SIZE] for i in range(len(clean) - SIZE + 1)]
 
 
 def gram_counts(labelled: DataFrame, text: str = "text", lang: str = "lang", most: int = VOCABULARY) -> dict[str, dict[str, int]]:
     """Counts of each language's ``most`` commonest grams."""
-    n = labelled.select(F.col(lang).alias("lang"), F.explode(grams(F.col(text))).alias("gram")).groupBy("lang", "gram").count()
-    top = n.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("count"), "gram"))).filter(F.col("r") <= most)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: dict[str, Counter] = defaultdict(Counter)
+            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen[name].update(grams(value))
+            rows = [(name, g, c) for name, of in seen.items() for g, c in of.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.int64()))], ["lang", "gram", "n"])
+
+    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
+    n = rows.mapInArrow(run, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    top = n.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))).filter(F.col("r") <= most)
     out: dict[str, dict[str, int]] = defaultdict(dict)
-    for row in top.filter("lang is not null").toArrow().to_pylist():
-        out[row["lang"]][row["gram"]] = row["count"]
+    for row in top.toArrow().to_pylist():
+        out[row["lang"]][row["gram"]] = row["n"]
     return dict(out)
 
 
@@ -49,11 +61,9 @@ class Detector:
         self.scores = np.log(rows / rows.sum(axis=0)) if seen else rows
 
     def __call__(self, text: str | None) -> tuple[str | None, float]:
-        letters = [c if c.isalpha() else " " for c in (text or "").lower()]
-        if sum(c != " " for c in letters) < MIN_LETTERS or not self.names:
+        if sum(c.isalpha() for c in text or "") < MIN_LETTERS or not self.names:
             return None, 0.0
-        clean = " " + " ".join("".join(letters).split()) + " "
-        found = Counter(clean[i : i + SIZE] for i in range(len(clean) - SIZE + 1))
+        found = Counter(grams(text))
         known = [(self.at[g], c) for g, c in found.items() if g in self.at]
         if not known:
             return None, 0.0

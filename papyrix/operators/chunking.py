@@ -13,8 +13,8 @@ from papyrix.functions import segment
 from papyrix.functions import text as X
 from papyrix.operators.flat import flat_map
 
-_CHUNK = T.StructType().add("position", "int").add("chunk_text", "string").add("num_tokens", "int").add("cut_level", "int").add("n_units", "int")
-_PART = T.StructType().add("part", "int").add("part_text", "string")
+_CHUNK = T.StructType().add("position", "integer").add("chunk_text", "string").add("num_tokens", "integer").add("cut_level", "integer").add("n_units", "integer")
+_PART = T.StructType().add("part", "integer").add("part_text", "string")
 # How dumps of bibliographies and trial registers begin.
 BIBLIOGRAPHY = r"\b(PMID|NCT Number)\s*:"
 

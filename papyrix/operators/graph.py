@@ -22,9 +22,9 @@ MIN_KEY = 4
 
 _TRIPLE = (
     T.StructType().add("subject", "string").add("subject_type", "string").add("relation", "string").add("object", "string")
-    .add("object_type", "string").add("evidence", "string").add("passive", "boolean").add("nth", "int")
+    .add("object_type", "string").add("evidence", "string").add("passive", "boolean").add("nth", "integer")
 )
-_MENTION = T.StructType().add("start", "int").add("end", "int").add("form", "string").add("label", "string")
+_MENTION = T.StructType().add("start", "integer").add("end", "integer").add("form", "string").add("label", "string")
 
 
 def find_mentions(units: DataFrame, aliases: Mapping[str, Sequence[str]] = ALIASES, label: str = "organization", text: str = "text") -> DataFrame:

@@ -89,7 +89,7 @@ def top_documents(candidates: DataFrame, n: int = N_DOCUMENTS, strategy: str = "
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
 
-_FRAGMENT = T.StructType().add("rank", "int").add("chunk_id", "string").add("doc_id", "string").add("text", "string").add("score", "double")
+_FRAGMENT = T.StructType().add("rank", "integer").add("chunk_id", "string").add("doc_id", "string").add("text", "string").add("score", "double")
 
 
 def select_fragments(candidates: DataFrame, queries: DataFrame | None = None, n: int = N_FRAGMENTS, per_document: int | None = PER_DOCUMENT, limit: int = LIMIT) -> DataFrame:

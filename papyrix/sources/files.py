@@ -58,7 +58,7 @@ def format_of(path: Column, content: Column) -> Column:
     return F.when((extension == "pdf") & page, "html").otherwise(extension)
 
 
-_OUT = T.StructType().add("source", "string").add("format", "string").add("text", "string").add("title", "string").add("metadata", T.MapType(T.StringType(), T.StringType())).add("part", "int").add("error", "string")
+_OUT = T.StructType().add("source", "string").add("format", "string").add("text", "string").add("title", "string").add("metadata", T.MapType(T.StringType(), T.StringType())).add("part", "integer").add("error", "string")
 
 
 def read_files(spark: SparkSession, root: str, loaders: Mapping[str, Loader] | None = None, glob: str = "*") -> DataFrame:
