@@ -23,6 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """Texts are long: fewer rows than the default 10,000 go to Python at once, unless the session asks for fewer yet."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(ARROW_ROWS)) <= rows:
+        conf.set(ARROW_ROWS, str(rows))
+    return df
+
+
 def with_checkpoint_dir(spark: SparkSession) -> None:
     """Uses the shared folder that spark.checkpoint.dir names; only a local master may fall back to a temporary one."""
     sc = spark.sparkContext
@@ -53,7 +64,7 @@ def words_of(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """Stable 64-bit hash of each word, with a bound on what is remembered."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import WordHashes, cut, shingles, without_keys, words_of
+from papyrix.llm.common import WordHashes, bounded_batches, cut, shingles, without_keys, words_of
 
 SIZE = 5
 PERCENT = 80
@@ -90,7 +90,7 @@ def document_hits(docs: DataFrame, sets: DataFrame, key: str, text: str, size: i
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at_all, pa.int64())), pa.array(got, pa.int64())], ["doc", "hash"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).filter("doc is not null").mapInArrow(run, f"doc {kind}, hash bigint")
+    return bounded_batches(docs).select(F.col(key).alias("doc"), F.col(text).alias("text")).filter("doc is not null").mapInArrow(run, f"doc {kind}, hash bigint")
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", size: int = SIZE, percent: int = PERCENT, bits: int = TABLE_BITS) -> DataFrame:

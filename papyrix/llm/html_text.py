@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from papyrix.llm.common import bounded_batches
+
 # The commonest function words of four languages.
 STOP_WORDS = {
     "en": "a an and are as at be but by for from had has have he her his i in is it its not of on or she that the their there they this to was we were which will with you",
@@ -250,5 +252,5 @@ def extract(pages: DataFrame, key: str = "page_id", page: str = "html", also: tu
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], texts], [*(f"c{i}" for i in range(len(columns))), "text"])
 
     kinds = ", ".join(f"c{i} {pages.schema[c].dataType.simpleString()}" for i, c in enumerate(columns))
-    out = pages.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], F.col(page).alias("page")).mapInArrow(run, f"{kinds}, text string")
+    out = bounded_batches(pages).select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], F.col(page).alias("page")).mapInArrow(run, f"{kinds}, text string")
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], "text", F.length("text").cast("bigint").alias("n_chars"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import text_batches
+from papyrix.llm.common import bounded_batches, text_batches
 
 LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 4
@@ -39,8 +39,8 @@ UNSEEN = 1.0
 #: Added to each count, so that a language that lacks a word isn't excluded by it.
 PRIOR = 0.5
 
-_FLUSH = 300_000
-PIECE = 4 << 20
+_FLUSH = 150_000
+PIECE = 2 << 20
 
 
 def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -61,7 +61,7 @@ def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
                     yield flushed()
         yield flushed()
 
-    rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
+    rows = bounded_batches(docs).select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
     return rows.mapInArrow(run, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
@@ -109,7 +109,7 @@ class LanguageModel:
 class TextScores:
     """Sums of word scores over texts. Unseen words are scored a batch at a time; what is remembered is bounded."""
 
-    LIMIT = 300_000
+    LIMIT = 100_000
 
     def __init__(self, model: LanguageModel):
         self.model = model
@@ -184,7 +184,7 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(sure, pa.float64())], ["key", "lang_pred", "score"])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, lang_pred string, score double")
+    out = bounded_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, lang_pred string, score double")
     return out.withColumnRenamed("key", key)
 
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import WordHashes, bit_is_set, bit_table, cut, mixed, shingles, slot, without_keys, words_of
+from papyrix.llm.common import WordHashes, bit_is_set, bit_table, bounded_batches, cut, mixed, shingles, slot, without_keys, words_of
 from papyrix.llm.components import connected_components
 
 ROWS = 5
@@ -100,7 +100,7 @@ def signed(docs: DataFrame, key: str, text: str, size: int, rows: int, bands: in
                 buckets.append(band_hashes(signature(hashes, orders), rows).astype(np.int64) if len(hashes) >= max(1, least) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))], ["key", "n", "d1", "d2", "bands"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, bands array<bigint>")
+    return bounded_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, bands array<bigint>")
 
 
 def sets_of(docs: DataFrame, vertices: DataFrame, key: str, text: str, size: int) -> DataFrame:

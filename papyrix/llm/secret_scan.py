@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrix.llm.automaton import Dfa, parse, reverse
+from papyrix.llm.common import bounded_batches
 
 _HEAD = r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 
@@ -122,7 +123,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(item))], ["key", "secrets"])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, secrets array<struct<kind:string,start:bigint,end:bigint>>")
+    out = bounded_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, secrets array<struct<kind:string,start:bigint,end:bigint>>")
     return out.withColumnRenamed("key", key)
 
 
@@ -154,4 +155,4 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tupl
             columns[at] = pa.array([clean(value.as_py()) for value in batch.column(at)], batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(run, docs.schema)

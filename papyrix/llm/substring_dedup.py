@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import bit_is_set, bit_table, cut, slot
+from papyrix.llm.common import bit_is_set, bit_table, bounded_batches, cut, slot
 
 MIN, MAX = 24, 256
 CUT = 0x001F0000
@@ -90,7 +90,7 @@ def chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row, pa.int64())), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["doc", "start", "end", "d1", "d2"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).mapInArrow(run, f"doc {kind}, start int, end int, d1 bigint, d2 bigint")
+    return bounded_batches(docs).select(F.col(key).alias("doc"), F.col(text).alias("text")).mapInArrow(run, f"doc {kind}, start int, end int, d1 bigint, d2 bigint")
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
