@@ -522,7 +522,7 @@ def graph_summary(spark, d):
 UNION ALL SELECT n_nationkey::VARCHAR, 'ORG:estados unidos', 'firma', 'ORG:tnp', true FROM nation""")
 def relations_extract(spark, d):
     """Entities and relations in a text about each nation."""
-    units = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("doc_id"), F.concat(F.lit("n#"), "n_nationkey").alias("chunk_id"), F.lit(1).alias("position"), F.concat(F.initcap("n_name"), F.lit(" asiste. La OTAN y China desarrollan armas antisatélite. The NPT was ratified by the United States. Rusia no desarrolla ASAT.")).alias("text"))
+    units = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("doc_id"), F.concat(F.lit("n#"), "n_nationkey").alias("chunk_id"), F.lit(1).alias("position"), F.concat(F.initcap("n_name"), F.lit(" asiste. La OTAN y China desarrollan armas antisatélite. The NPT was signed by the United States. Rusia no desarrolla ASAT.")).alias("text"))
     return graph.with_keys(graph.extract_triples(units)).select("doc_id", "src", "relation", "dst", "passive")
 
 
