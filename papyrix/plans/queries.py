@@ -519,13 +519,18 @@ def graph_summary(spark, d):
 
 
 @query("""SELECT n_nationkey::VARCHAR AS doc_id, src, 'desarrolla' AS relation, 'ORG:arma antisatelite' AS dst, false AS passive FROM nation, (SELECT unnest(['ORG:china', 'ORG:otan']) AS src)
-UNION ALL SELECT n_nationkey::VARCHAR, 'ORG:estados unidos', 'firma', 'ORG:tnp', true FROM nation""")
+UNION ALL SELECT n_nationkey::VARCHAR, 'ORG:brasil', 'firma', 'ORG:tnp', true FROM nation""")
 def relations_extract(spark, d):
     """Entities and relations in a text about each nation."""
-    units = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("doc_id"), F.concat(F.lit("n#"), "n_nationkey").alias("chunk_id"), F.lit(1).alias("position"), F.concat(F.initcap("n_name"), F.lit(" asiste. La OTAN y China desarrollan armas antisatélite. The NPT was signed by the United States. Rusia no desarrolla ASAT.")).alias("text"))
+    units = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("doc_id"), F.concat(F.lit("n#"), "n_nationkey").alias("chunk_id"), F.lit(1).alias("position"), F.concat(F.initcap("n_name"), F.lit(" asiste. La OTAN y China desarrollan armas antisatélite. The NPT was signed by Brazil. Rusia no desarrolla ASAT.")).alias("text"))
     return graph.with_keys(graph.extract_triples(units)).select("doc_id", "src", "relation", "dst", "passive")
 
 
+def _zoneless(df: DataFrame) -> DataFrame:
+    """As the events' own times are."""
+    return df.withColumn("start", F.col("start").cast("timestamp_ntz")).withColumn("end", F.col("end").cast("timestamp_ntz"))
+
+
 # Streams, run to their end as batches of the same plans
 
 
@@ -533,7 +538,7 @@ def relations_extract(spark, d):
 def event_windows(spark, d):
     from papyrix.streaming.text_stream import windowed
 
-    return windowed(table(spark, d, "events"))
+    return _zoneless(windowed(table(spark, d, "events")))
 
 
 @query("""WITH s AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
@@ -541,4 +546,4 @@ n AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED P
 def event_sessions(spark, d):
     from papyrix.streaming.text_stream import sessions
 
-    return sessions(table(spark, d, "events"))
+    return _zoneless(sessions(table(spark, d, "events")))

@@ -21,7 +21,7 @@ def entries(rows: DataFrame) -> DataFrame:
     named = rows.select(*[clean(c).alias(c) for c in COLUMNS]).filter("folder <> '' and filename <> ''")
     return named.select(
         "doc_id",
-        normal_path(F.concat_ws("/", F.rtrim(F.col("folder"), F.lit("/")), "filename")).alias("source"),
+        F.concat_ws("/", F.rtrim(normal_path(F.col("folder")), F.lit("/")), "filename").alias("source"),
         F.regexp_extract("phenomenon", r"^[Ff]?(\d)", 1).try_cast("int").alias("phenomenon"),
         F.lower(F.regexp_extract("filename", r"\.([^.]+)$", 1)).alias("format"),
         "observatory",

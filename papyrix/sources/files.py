@@ -53,8 +53,8 @@ LOADERS: dict[str, Loader] = {
 def format_of(path: Column, content: Column) -> Column:
     """By extension; a .pdf that begins like markup is a web page."""
     extension = F.lower(F.regexp_extract(path, r"\.([^./\\]+)$", 1))
-    head = F.ltrim(F.decode(F.substring(content, 1, 64), F.lit("ISO-8859-1")))
-    page = ~F.decode(F.substring(content, 1, 4), F.lit("ISO-8859-1")).eqNullSafe("%PDF") & head.startswith("<")
+    head = F.ltrim(F.decode(F.substring(content, 1, 64), "ISO-8859-1"))
+    page = ~F.decode(F.substring(content, 1, 4), "ISO-8859-1").eqNullSafe("%PDF") & head.startswith("<")
     return F.when((extension == "pdf") & page, "html").otherwise(extension)
 
 

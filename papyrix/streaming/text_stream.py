@@ -30,12 +30,17 @@ def write_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     return df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _timed(events: DataFrame) -> DataFrame:
+    """Watermarks need times with a zone; those without one are taken in the session's."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def windowed(events: DataFrame, width: str = "1 hour", slide: str | None = None, late: str = "10 minutes") -> DataFrame:
     """Tumbling or sliding windows by event type: n, total."""
     w = F.window("ts", width, slide) if slide else F.window("ts", width)
-    return events.withWatermark("ts", late).groupBy(w.alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "event_type", "n", "total")
+    return _timed(events).withWatermark("ts", late).groupBy(w.alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "event_type", "n", "total")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """Sessions of a user: no two neighbouring events are ``gap`` or more apart."""
-    return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count("*").alias("n")).select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+    return _timed(events).withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count("*").alias("n")).select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
