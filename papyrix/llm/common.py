@@ -46,9 +46,14 @@ def with_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Writes the rows to the shared checkpoint folder and goes on from there."""
-    with_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Writes the rows to the shared checkpoint folder and goes on from there.
+
+    A checkpoint keeps its plan's size estimate, and a join's is the product of its sides': over the rounds of a loop
+    that number would grow to billions of digits. So a new plan is made of the checkpointed rows."""
+    spark = df.sparkSession
+    with_checkpoint_dir(spark)
+    made = df.checkpoint()._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(made.queryExecution().toRdd(), made.schema(), False), spark)
 
 
 def ascii_lower(text: Column) -> Column:
