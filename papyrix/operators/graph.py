@@ -139,8 +139,11 @@ def components(edge_rows: DataFrame) -> DataFrame:
 def _cut(df: DataFrame) -> DataFrame:
     from papyrix.session import with_checkpoint_dir
 
-    with_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    with_checkpoint_dir(spark)
+    # a new plan: a checkpoint's own keeps the product of its joins' size estimates, which grows with every round
+    made = df.checkpoint()._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(made.queryExecution().toRdd(), made.schema(), False), spark)
 
 
 def node_keys(node_rows: DataFrame, limit: int | None = MAX_VARIANTS) -> DataFrame:
