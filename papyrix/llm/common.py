@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow.compute as pc
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,12 @@ def with_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="papyrix-"))
 
 
+def ship(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """A broadcast of ``value``, whose classes the executors needn't have installed; each task loads it by a call."""
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(data.value)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes the rows to the shared checkpoint folder and goes on from there.
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import bounded_batches, text_batches
+from papyrix.llm.common import bounded_batches, ship, text_batches
 
 LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 4
@@ -166,10 +166,10 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, lang_pred, score (the posterior of a softmax, 0 to 1)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = ship(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shipped()
         scores = TextScores(model)
         for batch in text_batches(batches, PIECE):
             names, sure = [], []
@@ -203,13 +203,13 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
 def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", min_score: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is found with a score of ``min_score`` or more; all columns."""
     model = train(docs, key, text, lang)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = ship(docs.sparkSession, model)
     names = docs.columns
     # the text goes second, where text_batches() looks; one more column first, as it may be the only one
     order = [F.lit(0).alias("_first"), F.col(text).alias("_second"), *[F.col(c) for c in names]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shipped()
         scores = TextScores(model)
         for batch in text_batches(batches, PIECE):
             found = scores.of(batch.column(1).to_pylist()) if model.languages else [None] * batch.num_rows

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrix.llm.automaton import Dfa, parse, reverse
-from papyrix.llm.common import bounded_batches
+from papyrix.llm.common import bounded_batches, ship
 
 _HEAD = r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 
@@ -113,11 +113,11 @@ def scanner(rules: tuple[Rule, ...] = RULES) -> Scanner:
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per document: key, secrets array<struct<kind, start, end>>."""
-    shared = docs.sparkSession.sparkContext.broadcast(scanner(rules))
+    shipped = ship(docs.sparkSession, scanner(rules))
     item = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with_rules = shared.value
+        with_rules = shipped()
         for batch in batches:
             found = [[{"kind": k, "start": a, "end": b} for k, a, b in with_rules.spans(value.as_py())] for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(item))], ["key", "secrets"])
@@ -138,21 +138,22 @@ def digest(secrets: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
     """``docs`` with each secret, and secrets that overlap as one, replaced in the text; all columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(scanner(rules))
+    shipped = ship(docs.sparkSession, scanner(rules))
     at = docs.columns.index(text)
 
-    def clean(value: str | None) -> str | None:
+    def clean(with_rules: Scanner, value: str | None) -> str | None:
         out, last = [], 0
-        for _, a, b in shared.value.spans(value):
+        for _, a, b in with_rules.spans(value):
             if b > last:
                 out.append(value[last:a] + mark if a >= last else "")
                 last = b
         return value if not out else "".join(out) + value[last:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with_rules = shipped()
         for batch in batches:
             columns = batch.columns
-            columns[at] = pa.array([clean(value.as_py()) for value in batch.column(at)], batch.schema.field(at).type)
+            columns[at] = pa.array([clean(with_rules, value.as_py()) for value in batch.column(at)], batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return bounded_batches(docs).mapInArrow(run, docs.schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import WordHashes, bounded_batches, cut, text_batches, words_of
+from papyrix.llm.common import WordHashes, bounded_batches, cut, ship, text_batches, words_of
 
 DEPTH = 5
 MIN_GAIN = 12.0
@@ -231,10 +231,10 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str =
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("types")).first()
     often = frequent_words(words, frequent).toArrow()
     order = np.argsort(often["value"].to_numpy().view(_U))
-    shared = spark.sparkContext.broadcast((tree, often["value"].to_numpy().view(_U)[order], np.log10(often["n"].to_numpy()[order] + 1.0)))
+    shipped = ship(spark, (tree, often["value"].to_numpy().view(_U)[order], np.log10(often["n"].to_numpy()[order] + 1.0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, values, logs = shared.value
+        tree, values, logs = shipped()
         hashes, scores = WordHashes(), GramScores(tree)
         for piece in text_batches(batches, _PIECE):
             s = stream(v.as_py() for v in piece.column(1))
