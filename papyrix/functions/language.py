@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -76,11 +77,13 @@ class Detector:
 
 def tag(docs: DataFrame, detector: Detector, text: str = "text") -> DataFrame:
     """Adds language and confidence."""
-    shared = docs.sparkSession.sparkContext.broadcast(detector)
+    data = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(detector))
 
     @F.pandas_udf(_TAG)
-    def detect(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value(t) for t in texts], columns=["language", "confidence"])
+    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        of = cloudpickle.loads(data.value)
+        for texts in batches:
+            yield pd.DataFrame([of(t) for t in texts], columns=["language", "confidence"])
 
     out = docs.withColumn("_tag", detect(text))
     return out.withColumn("language", F.col("_tag.language")).withColumn("confidence", F.col("_tag.confidence")).drop("_tag")
