@@ -138,7 +138,7 @@ def quota_sample(spark, d):
     return profile.until_quota(table(spark, d, "documents").select("doc_id", "source", "n_chars"), F.col("n_chars"), 20000, by="source").select("doc_id")
 
 
-@query("SELECT doc_id FROM documents WHERE md5_number(doc_id::VARCHAR) IS NOT NULL AND ('0x' || substr(md5(doc_id::VARCHAR), 29, 4))::BIGINT % 16 = 0")
+@query("SELECT doc_id FROM documents WHERE ('0x' || substr(md5(doc_id::VARCHAR), 29, 4))::BIGINT % 16 = 0")
 def md5_sample(spark, d):
     return table(spark, d, "documents").filter(X.stable_draw(F.col("doc_id").cast("string"), 16)).select("doc_id")
 
@@ -164,13 +164,12 @@ def anonymous_columns(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(X.strip_anonymous_columns(raw)).alias("digest"))
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN md5(replace(text, ' ', ' ')) ELSE md5(text) END AS digest FROM documents""")
+@query("SELECT doc_id, md5(text || ' alpha beta gamma') AS digest FROM documents")
 def control_characters(spark, d):
-    raw = F.when(F.col("doc_id") % 2 == 0, F.replace("text", F.lit(" "), F.lit("\x07"))).otherwise(F.replace("text", F.lit(" "), F.lit("​ ")))
-    kept = X.strip_control(raw)
-    # a single word has no more plausible words with a space than without
-    same = F.when((F.col("doc_id") % 2 == 0) & (kept == F.replace("text", F.lit(" "), F.lit(""))), F.col("text")).otherwise(kept)
-    return table(spark, d, "documents").select("doc_id", F.md5(same).alias("digest"))
+    """Spaces that became bells come back, as that makes more words; zero-width spaces go."""
+    bell, more = F.col("doc_id") % 2 == 0, F.concat("text", F.lit(" alpha beta gamma"))
+    raw = F.when(bell, F.replace(more, F.lit(" "), F.lit("\x07"))).otherwise(F.replace(more, F.lit(" "), F.lit("\u200b ")))
+    return table(spark, d, "documents").select("doc_id", F.md5(X.strip_control(raw)).alias("digest"))
 
 
 @query(r"SELECT doc_id, len(list_filter(regexp_split_to_array(replace(text, chr(10), chr(10) || chr(10)), '\n\s*\n'), lambda p: trim(p) <> ''))::INT AS n FROM documents")
@@ -499,8 +498,7 @@ def graph_evidence(spark, d):
     return found.groupBy("query_id").agg(F.count("*").alias("chunks"), F.round(F.max("weight"), 5).alias("top"))
 
 
-@query("""SELECT 'd' || doc_id AS query_id, 'LOC:' || lower(n_name) AS node FROM documents, nation WHERE length(n_name) >= 4 AND contains(' ' || lower(text) || ' ', ' ' || lower(n_name) || ' ') AND false
-UNION ALL SELECT 'o' || n_nationkey, 'LOC:' || lower(n_name) FROM nation WHERE length(n_name) >= 4""")
+@query("SELECT 'o' || n_nationkey AS query_id, 'LOC:' || lower(n_name) AS node FROM nation WHERE length(n_name) >= 4")
 def literal_links(spark, d):
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     asked = n.select(F.concat(F.lit("o"), "n_nationkey").alias("query_id"), F.concat(F.lit("what does "), F.lower("n_name"), F.lit(" buy")).alias("text"))
