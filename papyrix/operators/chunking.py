@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from papyrix.functions import segment
 from papyrix.functions import text as X
 from papyrix.operators.flat import flat_map
+from papyrix.session import cut
 
 _CHUNK = T.StructType().add("position", "integer").add("chunk_text", "string").add("num_tokens", "integer").add("cut_level", "integer").add("n_units", "integer")
 _PART = T.StructType().add("part", "integer").add("part_text", "string")
@@ -36,9 +37,10 @@ def systematic(df: DataFrame, step: int, key: str = "doc_id") -> DataFrame:
 
 
 def with_row_number(df: DataFrame, *keys: str) -> DataFrame:
-    """row_number from 0 in order of the keys. Rows are dealt into ranges; only one count per range meets in one task."""
+    """row_number from 0 in order of the keys. Rows are dealt into ranges; only one count per range meets in one task.
+    The ranges are drawn from a sample that differs from plan to plan, so they are written once and used twice."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id())
+    ranged = cut(df.repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id()))
     sizes = ranged.groupBy("_range").count()
     starts = sizes.select(F.col("_range").alias("_r"), (F.sum("count").over(W.orderBy("_range")) - F.col("count")).alias("_start"))
     inside = F.row_number().over(W.partitionBy("_range").orderBy(*keys)) - 1

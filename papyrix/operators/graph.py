@@ -16,6 +16,7 @@ from papyrix.functions import relations as R
 from papyrix.functions.names import ALIASES, INITIALS_SKIP, alias_keys, name_key_column
 from papyrix.functions.text import is_plural_of
 from papyrix.operators.flat import flat_map
+from papyrix.session import cut
 
 MAX_EVIDENCE, MAX_VARIANTS, NEIGHBOUR, MAX_CHUNKS = 10, 8, 0.4, 60
 MIN_KEY = 4
@@ -125,27 +126,17 @@ def nucleus(node_rows: DataFrame, edge_rows: DataFrame, least: int) -> tuple[Dat
 def components(edge_rows: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each reaches, edges taken both ways."""
     both = edge_rows.select(F.col("src").alias("v"), F.col("dst").alias("u")).unionByName(edge_rows.select(F.col("dst").alias("v"), F.col("src").alias("u"))).distinct()
-    both = _cut(both)
-    labels = _cut(both.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("label")))
+    both = cut(both)
+    labels = cut(both.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("label")))
     while True:
         nearest = both.join(labels.withColumnRenamed("v", "u"), "u").select("v", "label").unionByName(labels).groupBy("v").agg(F.min("label").alias("label"))
         jump = labels.select(F.col("v").alias("label"), F.col("label").alias("further"))
-        new = _cut(nearest.join(jump, "label", "left").select("v", F.least("label", F.coalesce("further", "label")).alias("label")))
+        new = cut(nearest.join(jump, "label", "left").select("v", F.least("label", F.coalesce("further", "label")).alias("label")))
         if not new.join(labels.withColumnRenamed("label", "old"), "v").filter("label <> old").limit(1).count():
             return new.select(F.col("v").alias("node"), F.col("label").alias("component"))
         labels = new
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    from papyrix.session import with_checkpoint_dir
-
-    spark = df.sparkSession
-    with_checkpoint_dir(spark)
-    # a new plan: a checkpoint's own keeps the product of its joins' size estimates, which grows with every round
-    made = df.checkpoint()._jdf
-    return DataFrame(spark._jsparkSession.internalCreateDataFrame(made.queryExecution().toRdd(), made.schema(), False), spark)
-
-
 def node_keys(node_rows: DataFrame, limit: int | None = MAX_VARIANTS) -> DataFrame:
     """(key, node) of each node's name and stored variants."""
     variants = F.slice("variants", 1, limit) if limit else F.col("variants")

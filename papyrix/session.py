@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -29,3 +29,12 @@ def with_checkpoint_dir(spark: SparkSession) -> None:
     if shared is None and not sc.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="papyrix-"))
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared checkpoint folder. The plan is a new one: a checkpoint's own keeps the product of
+    its joins' size estimates, which grows with every round of a loop."""
+    spark = df.sparkSession
+    with_checkpoint_dir(spark)
+    made = df.checkpoint()._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(made.queryExecution().toRdd(), made.schema(), False), spark)
