@@ -53,15 +53,22 @@ def ship(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: cloudpickle.loads(data.value)
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Writes the rows to the shared checkpoint folder and goes on from there.
 
     A checkpoint keeps its plan's size estimate, and a join's is the product of its sides': over the rounds of a loop
-    that number would grow to billions of digits. So a new plan is made of the checkpointed rows."""
+    that number would grow to billions of digits. So a new plan is made of the checkpointed rows.
+    rows: for narrow tables that go into loops, how many rows a partition should have; fewer partitions, if that makes
+    fewer, spare each later shuffle a file for each of them."""
     spark = df.sparkSession
     with_checkpoint_dir(spark)
     made = df.checkpoint()._jdf
-    return DataFrame(spark._jsparkSession.internalCreateDataFrame(made.queryExecution().toRdd(), made.schema(), False), spark)
+    rdd = made.queryExecution().toRdd()
+    out = DataFrame(spark._jsparkSession.internalCreateDataFrame(rdd, made.schema(), False), spark)
+    if rows is None or rdd.getNumPartitions() == 1:
+        return out
+    wanted = -(-out.count() // rows) or 1
+    return out.coalesce(wanted) if wanted < rdd.getNumPartitions() else out
 
 
 def ascii_lower(text: Column) -> Column:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from papyrix.llm.common import cut
 
+#: Vertices or edges in a partition, at least, while there are fewer than the session's partitions would hold.
+ROWS = 50_000
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges: (a, b). One row per vertex: (v, label), label the smallest vertex that it reaches.
@@ -15,13 +18,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     smallest vertex; rounds end when no label changes. Sums and minima are partial, so a hub isn't one task's work.
     An empty table has no vertices.
     """
-    both = cut(edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(edges.select(F.col("b").alias("v"), F.col("a").alias("u"))).distinct())
-    labels = cut(both.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("label")))
+    both = cut(edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(edges.select(F.col("b").alias("v"), F.col("a").alias("u"))).distinct(), ROWS)
+    labels = cut(both.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("label")), ROWS)
     while True:
         around = both.join(labels.select(F.col("v").alias("u"), "label"), "u").select("v", "label").unionByName(labels)
         least = around.groupBy("v").agg(F.min("label").alias("label"))
         jump = labels.select(F.col("v").alias("label"), F.col("label").alias("further"))
-        new = cut(least.join(jump, "label", "left").select("v", F.least("label", F.coalesce("further", "label")).alias("label")))
+        new = cut(least.join(jump, "label", "left").select("v", F.least("label", F.coalesce("further", "label")).alias("label")), ROWS)
         changed = new.join(labels.withColumnRenamed("label", "old"), "v").filter("label <> old").limit(1).count()
         labels = new
         if not changed:

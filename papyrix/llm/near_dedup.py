@@ -40,6 +40,7 @@ FAR = 0.4
 MAX_ROUNDS = 5
 BLOCK = 256
 PROBE_BITS = 24
+NARROW = 50_000
 
 _U = np.uint64
 _SEED = 20240229
@@ -202,7 +203,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     classes = sketch.filter("n > 0 and key is not null").groupBy(*digest).agg(F.min("key").alias("rep"))
     reps = classes.select(*digest, F.col("rep").alias("key"))
     members = sketch.filter("bands is not null").join(reps, ["key", *digest], "left_semi").select(F.explode("bands").alias("bucket"), F.col("key").alias("v")).distinct()
-    stars = cut(_stars(members))
+    stars = cut(_stars(members), NARROW)
     vertices = stars.select(F.col("c").alias("v")).unionByName(stars.select("v")).distinct()
     sets = cut(sets_of(docs, vertices, key, text, size))
 
@@ -210,14 +211,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     slack = 1 - percent / 100
     pairs, groups = [], []
     for turn in range(MAX_ROUNDS):
-        found = cut(_confirmed(stars.select("c", "v").distinct(), sets))
+        found = cut(_confirmed(stars.select("c", "v").distinct(), sets), NARROW)
         pairs.append(found.filter(100 * F.col("shared") >= percent * (F.col("n_c") + F.col("n_v") - F.col("shared"))).select(F.col("c").alias("a"), F.col("v").alias("b")))
         near = found.filter(similarity >= 1 - FAR - slack - 1e-9)
         groups.append(near.select(F.col("c").cast("string").alias("g"), "v").unionByName(near.select(F.col("c").cast("string").alias("g"), F.col("c").alias("v"))).distinct())
         far = found.filter(similarity <= 1 - FAR + 1e-9).select("c", "v")
         rest = stars.join(far, ["c", "v"], "left_semi").select("bucket", "v")
         if turn < MAX_ROUNDS - 1:
-            stars = cut(_stars(rest))
+            stars = cut(_stars(rest), NARROW)
             if not stars.limit(1).count():
                 break
         else:
@@ -225,12 +226,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     edges = pairs[0]
     for more in pairs[1:]:
         edges = edges.unionByName(more)
-    edges = cut(edges.distinct())
+    edges = cut(edges.distinct(), NARROW)
     labels = connected_components(edges)
     near = groups[0]
     for more in groups[1:]:
         near = near.unionByName(more)
-    inner = cut(_inner_links(near.distinct(), labels, sets, percent, kind))
+    inner = cut(_inner_links(near.distinct(), labels, sets, percent, kind), NARROW)
     if inner.limit(1).count():
         labels = connected_components(edges.unionByName(inner).distinct())
 
