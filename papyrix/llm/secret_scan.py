@@ -12,7 +12,6 @@ repeat are scanned each. An empty table gives an empty result. Memory is bounded
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
