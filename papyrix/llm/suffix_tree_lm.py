@@ -6,13 +6,13 @@ adds up its (context, next byte) counts in sorted arrays, Spark adds those of th
 sums over longer ones.
 
 A context is retained if its next-byte counts diverge enough from those of its suffix one byte shorter: the gain in log
-likelihood, sum n(s, x) ln(P(x | s) / P(x | suffix)), must reach ``min_gain`` nats. At most ``max_contexts`` are retained,
-those of the largest gain, and with each its suffixes. Next-byte distributions are smoothed down the tree,
+likelihood, sum n(s, x) ln(P(x | s) / P(x | suffix)), must reach ``min_gain`` nats. All that reach it are retained, and
+with each its suffixes. Next-byte distributions are smoothed down the tree,
 P(x | s) = (n(s, x) + t(s) P(x | suffix)) / (n(s) + t(s)) with t(s) the number of different bytes seen behind s, from a
 uniform distribution at the root. A byte is scored in the state of the longest retained suffix of what stands before it.
 
-The tree goes to the executors; its size is bounded by max_contexts * DEPTH contexts of 256 entries each, whatever the
-corpus. Words are counted too, for the unigram base score: the most frequent ones, at most FREQUENT of them, are looked
+The tree goes to the executors, 16 bytes for each entry; the test alone decides its size, which grows with the training
+texts, more slowly than they do. Words are counted too, for the unigram base score: the most frequent ones, at most FREQUENT of them, are looked
 up in a broadcast array of that bound, the few others of a document are joined with the table of counts.
 
 A null text is empty: it has the end token only. Null keys are in bucket 0. Rows that repeat are counted and scored each.
@@ -34,7 +34,6 @@ from papyrix.llm.common import WordHashes, bounded_batches, cut, ship, text_batc
 
 DEPTH = 5
 MIN_GAIN = 12.0
-MAX_CONTEXTS = 1 << 16
 FREQUENT = 1 << 19
 
 _U = np.uint64
@@ -196,16 +195,17 @@ def context_gains(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return entries, gains.select("d", "context", (F.col("part") - F.col("total") * F.ln(F.col("total") / F.col("up_total"))).alias("gain"))
 
 
-def grow(grams: DataFrame, min_gain: float = MIN_GAIN, max_contexts: int = MAX_CONTEXTS) -> SuffixTree:
+def retained(gains: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
+    """(d, context): every context whose gain reaches ``min_gain``, and its suffixes."""
+    kept = gains.filter(F.col("gain") >= min_gain).select(F.explode(F.sequence(F.lit(1), "d")).alias("d"), "context")
+    masks = F.array(*[F.lit(mask(d)).cast("bigint") for d in range(1, DEPTH + 1)])
+    return kept.select("d", F.col("context").bitwiseAND(F.element_at(masks, F.col("d"))).alias("context")).distinct()
+
+
+def grow(grams: DataFrame, min_gain: float = MIN_GAIN) -> SuffixTree:
     entries, gains = context_gains(grams)
-    kept = gains.filter(F.col("gain") >= min_gain).orderBy(F.desc("gain"), "d", "context").limit(max_contexts).select("d", "context").toArrow()
-    retained: list[set[int]] = [{0}] + [set() for _ in range(DEPTH)]
-    for d, context in zip(kept["d"].to_pylist(), kept["context"].to_pylist()):
-        for shorter in range(1, d + 1):
-            retained[shorter].add(context & mask(shorter))
-    rows = [(d, context) for d, of in enumerate(retained) for context in of]
-    wanted = entries.sparkSession.createDataFrame(pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64())], ["d", "context"]))
-    got = entries.join(F.broadcast(wanted), ["d", "context"]).select("d", "key", "n").toArrow()
+    of_retained = entries.join(retained(gains, min_gain), ["d", "context"], "left_semi")
+    got = entries.filter("d = 0").unionByName(of_retained).select("d", "key", "n").toArrow()
     d, key, n = (got[c].to_numpy() for c in ("d", "key", "n"))
     tables = []
     for depth in range(DEPTH + 1):
@@ -222,11 +222,11 @@ def frequent_words(words: DataFrame, most: int = FREQUENT) -> DataFrame:
     return words.join(F.broadcast(reached.agg(F.min("n").alias("least"))), F.col("n") >= F.col("least")).select("value", "n")
 
 
-def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", min_gain: float = MIN_GAIN, max_contexts: int = MAX_CONTEXTS, frequent: int = FREQUENT) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", min_gain: float = MIN_GAIN, frequent: int = FREQUENT) -> DataFrame:
     """One row per document of ``docs``: key, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     counted = cut(counts(training, text))
-    tree = grow(counted.filter(F.col("kind") == _KIND_GRAM).select("value", "n"), min_gain, max_contexts)
+    tree = grow(counted.filter(F.col("kind") == _KIND_GRAM).select("value", "n"), min_gain)
     words = counted.filter(F.col("kind") == _KIND_WORD).select("value", "n")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("types")).first()
     often = frequent_words(words, frequent).toArrow()

@@ -177,6 +177,19 @@ def test_suffix_tree_equals_recursion(spark):
     assert T.score(other.limit(0), train).count() == 0
 
 
+def test_every_context_that_passes_is_retained(spark):
+    # behind each of 70,000 contexts of 2 bytes stands a byte that its suffix of 1 byte doesn't tell
+    pairs = spark.range(70_000).select((F.col("id") % 256).alias("b"), F.expr("id div 256").alias("a"))
+    rows = pairs.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
+    value = F.expr("(a * 256 + b) * 256 + CASE WHEN side = 0 THEN a % 256 ELSE (a * 7 + b) % 256 END")
+    entries, gains = T.context_gains(rows.select(value.cast("bigint").alias("value"), F.lit(100).cast("bigint").alias("n")))
+    passing = {(r["d"], r["context"]) for r in gains.filter(F.col("gain") >= 12.0).collect()}
+    assert len(passing) > 1 << 16
+    tree = T.grow(rows.select(value.cast("bigint").alias("value"), F.lit(100).cast("bigint").alias("n")), 12.0)
+    kept = {(d, int(c)) for d, of in enumerate(tree.contexts) for c in of}
+    assert passing <= kept
+
+
 # Pages
 
 STORY = "This is the story of a man and his dog, and of the house that they had built in the wood by the river with their own hands over the years. It was not a large house but it was theirs and they were happy in it."
