@@ -5,14 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from papyrix.llm.common import cut
 from papyrix.operators import ranking, vectors
 
 
-def candidates(store: DataFrame, queries: DataFrame, k: int = vectors.K, key: str = "vec_id") -> DataFrame:
+def candidates(store: DataFrame, queries: DataFrame, k: int = vectors.K, key: str = "vec_id", least_docs: int = ranking.N_DOCUMENTS) -> DataFrame:
     """store: key, chunk_id, doc_id, text, language, embedding. The search reads keys and vectors only; texts meet the
-    few hits afterwards."""
-    hits = vectors.top_k(store, queries, k, key)
-    return hits.drop("rank").join(store.select(key, "chunk_id", "doc_id", "text", "language"), key)
+    few hits afterwards. Queries whose hits name fewer than ``least_docs`` documents are searched again with WIDEN times
+    k, until they name so many or k is all rows."""
+    rows = store.filter(F.col("embedding").isNotNull()).count()
+    found = None
+    while True:
+        hits = cut(vectors.top_k(store, queries, k, key).drop("rank"))
+        if k < rows:
+            named = hits.join(store.select(key, "doc_id"), key).groupBy("query_id").agg(F.count_distinct("doc_id").alias("n"))
+            enough = cut(named.filter(F.col("n") >= least_docs).select("query_id"))
+            queries = cut(queries.join(F.broadcast(enough), "query_id", "left_anti"))
+            hits = hits.join(F.broadcast(enough), "query_id", "left_semi")
+        found = hits if found is None else found.unionByName(hits)
+        if k >= rows or queries.isEmpty():
+            return found.join(store.select(key, "chunk_id", "doc_id", "text", "language"), key)
+        k = min(k * vectors.WIDEN, rows)
 
 
 def retrieve(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from papyrix.operators import checks, ranking, vectors
 from papyrix.operators import evaluation as E
+from papyrix.plans import retrieve
 
 CAND = "query_id string, chunk_id string, doc_id string, score double, text string, language string"
 
@@ -53,6 +54,21 @@ def test_best_part(spark):
     assert df.select(ranking.best_part_column(F.col("parts"), F.col("asked"))).first()[0] == "q"
 
 
+def test_one_document_owns_the_first_hits(spark):
+    # chunk i is at angle i / 1000 from the first query; of 300 chunks A has the first 200 and more
+    at = [(i, f"c{i:03d}", "A" if i < 210 else "BC"[i % 2], f"text {i}", "en", [math.cos(i / 1000), math.sin(i / 1000)]) for i in range(300)]
+    store = spark.createDataFrame(at, "vec_id long, chunk_id string, doc_id string, text string, language string, embedding array<float>")
+    asked = spark.createDataFrame([("q1", [1.0, 0.0], None, None), ("q2", at[212][5], None, None)], "query_id string, embedding array<float>, text string, topic int")
+    out = {r["query_id"]: r for r in retrieve.retrieve(store, asked).collect()}
+    assert all({d["doc_id"] for d in r["documents"]} == {"A", "B", "C"} for r in out.values())
+    assert len({f["doc_id"] for f in out["q1"]["fragments"]}) == 3
+    # only the query that lacks documents is widened, ten times at once, and to all rows at most
+    n = lambda k: {r["query_id"]: r["count"] for r in retrieve.candidates(store, asked, k).groupBy("query_id").count().collect()}
+    assert n(10) == {"q1": 300, "q2": 10} and n(22) == {"q1": 220, "q2": 22}
+    one = store.filter("doc_id = 'A'")
+    assert retrieve.candidates(one, asked, 10).count() == 420 and retrieve.candidates(store.limit(0), asked).count() == 0
+
+
 def test_search_is_exact(spark):
     rng = np.random.default_rng(1)
     v = rng.normal(size=(300, 8)).astype(np.float32)
