@@ -50,6 +50,7 @@ STOP_HIGH, STOP_LOW = 0.30, 0.15
 LINKS = 0.33
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 _NAME = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
@@ -89,16 +90,13 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, characters of it in links, heading, inside an article) in page order."""
     tokens: list[tuple] = []
     stack: list[_Element] = []
-    raw = ""
+    at = 0
     # first the tree: which element closes where
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.match(page, at):
+        at = m.end()
         slash, name, attributes, text = m.groups()
         if name is not None:
             name = name.lower()
-        if raw:
-            if slash and name == raw:
-                raw = ""
-            continue
         if text is not None:
             tokens.append(("text", text))
         elif name is None:
@@ -113,7 +111,10 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
         elif name in VOID:
             tokens.append(("void", name))
         elif name in RAW:
-            raw = "" if attributes.endswith("/") else name
+            if not attributes.endswith("/"):
+                # what is inside isn't markup: on to the end tag, or the end of the page
+                end = _RAW_END[name].search(page, at)
+                at = end.end() if end else len(page)
             tokens.append(("void", name))
         else:
             if name in BLOCK:

@@ -202,6 +202,13 @@ def test_main_text_of_an_article():
     assert H.main_text(page) == f"Head & line\n\n{STORY}\n\nShort <b>."
 
 
+@pytest.mark.parametrize("script", ["for(var i=0;i<n;i++)a[i]=f('x');", "a<b&&c", "it's \"<b", "x='</scripts>';i<n", "<!-- i<n"])
+@pytest.mark.parametrize("end", ["</script>", "</SCRIPT >"])
+def test_raw_elements_end_at_their_end_tag(script, end):
+    assert H.main_text(f"<script>{script}{end}<article><p>{STORY}</p></article><script>{script}{end}<p>After</p>") == STORY
+    assert H.main_text(f"<article><p>{STORY}</p></article><script>{script}") == STORY
+
+
 def test_main_text_without_an_article():
     page = f"<div><a href=x>Home</a> <a href=y>News of the day</a></div><div><h2>Title here</h2><p>{STORY}</p><p>Short.</p><p>{STORY}</p></div><div>Impressum</div><p>kwd1 kwd2 {'foo ' * 40}</p>"
     assert H.main_text(page) == f"Title here\n\n{STORY}\n\nShort.\n\n{STORY}"
