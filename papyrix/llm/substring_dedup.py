@@ -5,7 +5,8 @@ characters only. A chunk ends where the bits of CUT are zero, MIN characters at
 Cuts depend on content, not on position, so an insertion shifts no more than the chunks around it. Chunks are compared
 by a 128-bit digest; of equal chunks the first (smallest key, then position) stays and the others are repeats.
 
-Neighbouring chunks that repeat are joined to spans; a span shorter than ``least`` characters is too common to count.
+Neighbouring chunks that repeat are joined to regions; one shorter than ``least`` characters is too common to count. A
+region is cut into spans where what stays and what is removed meet; spans may be of any length.
 Offsets are code points, end exclusive.
 
 Digests are aggregated on the map side, so a line that a third of all documents share is one row per task; the rows of
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 from papyrix.llm.common import bit_is_set, bit_table, bounded_batches, cut, slot
 
-MIN, MAX = 24, 256
-CUT = 0x001F0000
+MIN, MAX = 16, 256
+CUT = 0x000F0000
 LEAST = 64
 PROBE = 26
 
@@ -103,10 +104,14 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     hits = maybe.select("doc", "start", "end", "d1", "d2").join(groups, ["d1", "d2"])
     hits = hits.withColumn("removed", ~(F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("start") == F.col("first.start"))))
     order = W.partitionBy("doc").orderBy("start", "end")
-    joins = (F.lag("end").over(order) == F.col("start")) & (F.lag("removed").over(order) == F.col("removed"))
-    runs = hits.withColumn("_new", F.when(joins, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(order))
-    spans = runs.groupBy("doc", "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("copies").alias("copies"), F.first("removed").alias("removed"))
-    return spans.filter(F.col("end") - F.col("start") >= least).select(F.col("doc").alias(key), "start", "end", "copies", "removed")
+    touches = F.coalesce(F.lag("end").over(order) == F.col("start"), F.lit(False))
+    alike = touches & (F.lag("removed").over(order) == F.col("removed"))
+    marked = hits.withColumn("_far", F.when(touches, 0).otherwise(1)).withColumn("_new", F.when(alike, 0).otherwise(1))
+    runs = marked.withColumn("_region", F.sum("_far").over(order)).withColumn("_run", F.sum("_new").over(order))
+    spans = runs.groupBy("doc", "_region", "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("copies").alias("copies"), F.first("removed").alias("removed"))
+    region = W.partitionBy("doc", "_region")
+    spans = spans.withColumn("_length", F.max("end").over(region) - F.min("start").over(region))
+    return spans.filter(F.col("_length") >= least).select(F.col("doc").alias(key), "start", "end", "copies", "removed")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:

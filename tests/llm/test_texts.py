@@ -271,3 +271,13 @@ def test_repeats(spark):
     assert C.repeated_spans(docs.limit(0)).count() == 0
     same = C.repeated_spans(docs_of(spark, [passage] * 5)).collect()
     assert sorted((r["doc_id"], r["start"], r["end"], r["removed"]) for r in same) == [(i, 0, len(passage), i > 0) for i in range(5)]
+
+
+def test_least_counts_whole_regions(spark):
+    rng = random.Random(5)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(n))
+    x, y = words(60), words(60)
+    docs = docs_of(spark, [f"{words(40)} {x} {words(40)}", f"{words(30)} {x} {y} {words(30)}", f"{words(50)} {x} {y} {words(50)}"])
+    spans = C.repeated_spans(docs, least=400).collect()
+    # x and y are too short alone; in document 1 x is a repeat, y is not, and both together are long enough
+    assert {(r["doc_id"], r["removed"]) for r in spans} == {(1, True), (1, False), (2, True)}
