@@ -10,11 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that count as white space, as letters, as invisible, as control characters.
-WS = r"[\x09-\x0d\x1c-\x20\x85\xa0  -     　]"
-BLANK = r"[\x09\x0b-\x0d\x1c-\x20\x85\xa0  -     　]"
+WS = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+BLANK = r"[\x09\x0b-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 LETTER = r"[\p{L}\p{Nl}\p{No}]"
-INVISIBLE = r"[­​-‏‪-‮⁠-⁤⁪-⁯﻿]"
-CONTROL = r"[\x00-\x08\x0b\x0e-\x1f\x7f-\x9f�-]"
+INVISIBLE = r"[\xad\u200b-\u200f\u202a-\u202e\u2060-\u2064\u206a-\u206f\ufeff]"
+CONTROL = r"[\x00-\x08\x0b\x0e-\x1f\x7f-\x9f\ufffd\ue000-\uf8ff]"
 PLAUSIBLE = rf"(?<![\p{{L}}\p{{N}}_]){LETTER}{{3,20}}(?![\p{{L}}\p{{N}}_])"
 
 TABULAR = ("csv", "xlsx", "pbf")
@@ -40,8 +40,8 @@ def plausible_words(text: Column) -> Column:
 
 def line_breaks(text: Column) -> Column:
     """One kind of line end; form feeds and paragraph separators become paragraphs. (The NFC step is in pytext.)"""
-    out = F.regexp_replace(text, r"\r\n?| |\x0b", "\n")
-    return F.regexp_replace(out, r" |\f", "\n\n")
+    out = F.regexp_replace(text, r"\r\n?|\u2028|\x0b", "\n")
+    return F.regexp_replace(out, r"\u2029|\f", "\n\n")
 
 
 def strip_control(text: Column) -> Column:
