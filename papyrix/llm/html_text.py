@@ -2,23 +2,36 @@
 
 A page is cut into blocks at block-level tags. Subtrees that are never part of an article (scripts, styles, menus, page
 headers, footers, sidebars, forms; elements whose class, id or role names an advert, a notice, comments and the like) are
-left out, if they are closed where they should be; of one that isn't, only the text up to the next block is.
-
-First pass, block by block: a block with many links is bad. A block inside <article> or <main> is good. Elsewhere a long
-block with enough stop words is good, a long one without them bad, a middling one with some stop words nearly good, and a
-short one undecided. Second pass: undecided and nearly good blocks take the label of their nearest decided neighbours; if
-those differ, a nearly good one or a heading before a good block is good and another is bad. A page without a good block
-keeps what is nearly good.
+left out, if they are closed where they should be; of one that isn't, only the text up to the next block is. If nothing
+but links is left then, what only its name spoke against counts after all, so a page wrapped in such an element isn't lost.
+
+First pass, block by block, by link density, and by stop-word density and length together. A block of which more than
+LINKS are link text is bad. Of n words, PROSE * n stop words are expected at the border between running text and lists
+of words; a block with significantly more (Z standard deviations) is good, one with significantly fewer is thin, and one
+whose length doesn't allow either is undecided. Stop words are those of the page's language, of four that are listed; a
+page that hardly has any of them has its own, the commonest words (characters, in scripts without spaces) that it has in
+three blocks or more.
+
+Second pass: an undecided block takes the label of its nearest decided (good or bad) neighbours, the page's ends being
+bad; so does a thin one, which is bad by its own words where that doesn't overrule them. Where the two differ tags decide:
+what is inside <article> or <main> is good, on a page without these an undecided block that shares its container with the
+good neighbour, or is a heading before it. On a page without any good block, undecided and thin blocks inside <article>
+or <main> are good, else undecided ones with more stop words than the border.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by an empty line.
-Null, empty and text-free pages give an empty string. Pages are taken whole; rows that repeat are done each.
+A script, style or other raw element without an end tag ends before the next block-level tag, or with the page.
+Null, empty and text-free pages give an empty string. Pages are taken whole; rows that repeat are done each. Columns may
+have any names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,9 +58,12 @@ NAMES = set("ad ads adv advert adverts advertisement advertising sponsor sponsor
 COMMENTS = {"comment", "comments", "disqus", "replies", "respond", "responses"}
 HEADERS = {"header", "masthead", "topbar"}
 
-LONG, SHORT = 200, 70
-STOP_HIGH, STOP_LOW = 0.30, 0.15
+CONTAINERS = {"article", "aside", "blockquote", "body", "center", "details", "div", "fieldset", "figure", "html", "main", "section", "table", "td"}
+
+PROSE, Z = 0.15, 1.64
 LINKS = 0.33
+#: A page with a smaller share of listed stop words is in a language that isn't listed.
+LISTED, OWN_WORDS, OWN_BLOCKS = 0.05, 30, 3
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
@@ -55,6 +71,18 @@ _NAME = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 _WORD = re.compile(r"[^\W\d_]+")
+#: Scripts without spaces between words: each character counts as one.
+_CHARACTERS = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]")
+_NEXT_BLOCK = re.compile(rf"<(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.I)
+
+
+@dataclass(frozen=True)
+class Block:
+    text: str
+    linked: int = 0
+    heading: bool = False
+    in_article: bool = False
+    container: int = 0
 
 
 class _Element:
@@ -86,68 +114,71 @@ def _why_left_out(name: str, attributes: str, in_article: bool) -> str:
     return "name" if words & NAMES or (words & HEADERS and not in_article) else ""
 
 
-def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters of it in links, heading, inside an article) in page order."""
+def tokens_of(page: str) -> list[tuple]:
+    """("text", text, container) | ("void", name) | ("start", name, element) | ("end", name), with elements' ends known."""
     tokens: list[tuple] = []
     stack: list[_Element] = []
     at = 0
-    # first the tree: which element closes where
+
+    def close(depth: int) -> None:
+        stack[depth].close = len(tokens)
+        del stack[depth:]
+
     while m := _TOKEN.match(page, at):
         at = m.end()
         slash, name, attributes, text = m.groups()
-        if name is not None:
-            name = name.lower()
         if text is not None:
-            tokens.append(("text", text))
-        elif name is None:
+            tokens.append(("text", text, next((e.open for e in reversed(stack) if e.name in CONTAINERS), -1)))
+            continue
+        if name is None:
             continue
-        elif slash:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].name == name:
-                    stack[depth].close = len(tokens)
-                    del stack[depth:]
-                    break
+        name = name.lower()
+        if slash:
+            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d].name == name), None)
+            if depth is not None:
+                close(depth)
             tokens.append(("end", name))
-        elif name in VOID:
-            tokens.append(("void", name))
         elif name in RAW:
             if not attributes.endswith("/"):
-                # what is inside isn't markup: on to the end tag, or the end of the page
+                # what is inside isn't markup: on to the end tag, or else to the next block
                 end = _RAW_END[name].search(page, at)
-                at = end.end() if end else len(page)
+                following = None if end else _NEXT_BLOCK.search(page, at)
+                at = end.end() if end else following.start() if following else len(page)
+            tokens.append(("void", name))
+        elif name in VOID:
             tokens.append(("void", name))
         else:
             if name in BLOCK:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth].name == "p":
-                        stack[depth].close = len(tokens)
-                        del stack[depth:]
-                        break
-                    if stack[depth].name in BLOCK:
-                        break
-            inside = any(e.name in ("article", "main") for e in stack)
+                # a paragraph ends where a block begins
+                depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d].name in BLOCK), None)
+                if depth is not None and stack[depth].name == "p":
+                    close(depth)
             if name in ("article", "main", "h1"):
                 for e in stack:
                     e.inner = True
-            element = _Element(name, len(tokens), _why_left_out(name, attributes, inside))
+            element = _Element(name, len(tokens), _why_left_out(name, attributes, any(e.name in ("article", "main") for e in stack)))
             tokens.append(("start", name, element))
-            if not attributes.endswith("/"):
-                stack.append(element)
-            else:
+            if attributes.endswith("/"):
                 element.close = len(tokens)
-    # then the blocks
-    out: list[tuple[str, int, bool, bool]] = []
+            else:
+                stack.append(element)
+    return tokens
+
+
+def blocks_of(tokens: list[tuple], by_name: bool = True) -> list[Block]:
+    """Blocks in page order. by_name: elements that only their names speak against are left out too."""
+    out: list[Block] = []
     parts: list[str] = []
-    linked, links, heading, skip_to, skip_block = 0, 0, False, 0, False
+    linked, links, heading, container, skip_to, skip_block = 0, 0, False, None, 0, False
     articles: list[int] = []
 
     def close_block() -> None:
-        nonlocal linked, heading, links
+        nonlocal linked, heading, links, container
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append((text, linked, heading, bool(articles)))
+            out.append(Block(text, linked, heading, bool(articles), container))
         parts.clear()
-        linked, heading, links = 0, False, 0
+        linked, heading, links, container = 0, False, 0, None
 
     for i, token in enumerate(tokens):
         while articles and articles[-1] <= i:
@@ -160,6 +191,8 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
             if not skip_block:
                 parts.append(name)
                 linked += len(name.strip()) if links else 0
+                if container is None and name.strip():
+                    container = token[2]
             continue
         if kind == "void":
             if name in ("br", "hr", "img", "input", "wbr"):
@@ -172,7 +205,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
             links = max(0, links - 1) if name == "a" else links
             continue
         element = token[2]
-        drop = element.drop == "tag" or (element.drop == "name" and not element.inner)
+        drop = element.drop == "tag" or (by_name and element.drop == "name" and not element.inner)
         if drop and name == "head" and element.close is None:
             drop = False
         if drop:
@@ -189,58 +222,89 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
-def stop_density(text: str) -> float:
-    words = _WORD.findall(text.lower())
-    return max(sum(w in stops for w in words) for stops in STOPS) / len(words) if words else 0.0
+def is_linked(block: Block) -> bool:
+    return block.linked > LINKS * len(block.text)
+
+
+def blocks(page: str) -> list[Block]:
+    tokens = tokens_of(page)
+    found = blocks_of(tokens)
+    if all(map(is_linked, found)):
+        found = blocks_of(tokens, by_name=False)
+    return found
+
+
+def words_of_block(text: str) -> list[str]:
+    out: list[str] = []
+    for w in _WORD.findall(text.lower()):
+        if w.isascii() or not _CHARACTERS.search(w):
+            out.append(w)
+        else:
+            out += w
+    return out
+
+
+def page_stops(words: list[list[str]]) -> frozenset[str]:
+    """The stop words that hold for a page, given the words of its blocks."""
+    count = Counter(w for of in words for w in of)
+    share = [sum(count[w] for w in stops) for stops in STOPS]
+    if max(share) >= LISTED * count.total():
+        return STOPS[share.index(max(share))]
+    spread = Counter(w for of in words for w in set(of))
+    own = [w for w in count if spread[w] >= OWN_BLOCKS]
+    return frozenset(sorted(own, key=lambda w: (-count[w], w))[:OWN_WORDS])
 
 
-def first_labels(found: list[tuple[str, int, bool, bool]]) -> list[str]:
+def first_labels(found: list[Block]) -> list[str]:
+    words = [words_of_block(b.text) if not is_linked(b) else [] for b in found]
+    stops = page_stops(words)
     labels = []
-    for text, linked, _, in_article in found:
-        if linked > LINKS * len(text):
+    for b, of in zip(found, words):
+        if is_linked(b):
             labels.append("bad")
-        elif in_article:
-            labels.append("good")
-        elif len(text) < SHORT:
-            labels.append("bad" if linked else "short")
-        else:
-            density = stop_density(text)
-            labels.append(("good" if len(text) > LONG else "near") if density >= STOP_HIGH else "near" if density >= STOP_LOW else "bad")
+            continue
+        n = len(of)
+        excess = sum(w in stops for w in of) - PROSE * n
+        border = Z * math.sqrt(PROSE * (1 - PROSE) * n)
+        labels.append("good" if n and excess >= border else "thin" if n and excess <= -border else "near" if excess > 0 else "short")
     return labels
 
 
-def final_labels(found: list[tuple[str, int, bool, bool]], first: list[str]) -> list[bool]:
+def final_labels(found: list[Block], first: list[str], tags: bool = True) -> list[bool]:
+    """tags: whether tags decide where neighbours don't; if not, those near to good and headings before good are good."""
     n = len(first)
-    before, after, last = ["bad"] * n, ["bad"] * n, "bad"
-    for i in range(n):
-        before[i] = last
-        last = first[i] if first[i] in ("good", "bad") else last
-    last = "bad"
-    for i in range(n - 1, -1, -1):
-        after[i] = last
-        last = first[i] if first[i] in ("good", "bad") else last
+    decided = [i for i in range(n) if first[i] in ("good", "bad")]
+    before, after = [-1] * n, [n] * n
+    for here, there in zip([-1, *decided], [*decided, n]):
+        for i in range(here + 1, there):
+            before[i], after[i] = here, there
+    good = lambda i: 0 <= i < n and first[i] == "good"
+    articles = tags and any(b.in_article for b in found)
+    nothing = "good" not in first
     out = []
-    for i, label in enumerate(first):
+    for i, (b, label) in enumerate(zip(found, first)):
         if label in ("good", "bad"):
             out.append(label == "good")
-        elif before[i] == after[i]:
-            out.append(before[i] == "good")
+        elif nothing:
+            out.append(b.in_article if articles else label == "near")
+        elif good(before[i]) == good(after[i]):
+            out.append(good(before[i]))
+        elif articles:
+            out.append(b.in_article)
+        elif label == "thin":
+            out.append(False)
         else:
-            out.append(label == "near" or (found[i][2] and after[i] == "good"))
-    if "good" not in first:
-        out = [label == "near" for label in first]
+            beside = found[before[i] if good(before[i]) else after[i]]
+            out.append((tags and b.container == beside.container) or (label == "near" and not tags) or (b.heading and good(after[i])))
     return out
 
 
-def main_text(page: str | None) -> str:
+def main_text(page: str | None, tags: bool = True) -> str:
     if not page:
         return ""
     found = blocks(page)
-    # of a page with an article, only that is the article
-    if any(in_article for *_, in_article in found):
-        found = [b for b in found if b[3]]
-    keep = final_labels(found, first_labels(found))
-    return "\n\n".join(b[0] for b, good in zip(found, keep) if good)
+    keep = final_labels(found, first_labels(found), tags)
+    return "\n\n".join(b.text for b, good in zip(found, keep) if good)
 
 
 def extract(pages: DataFrame, key: str = "page_id", page: str = "html", also: tuple[str, ...] = ("url",)) -> DataFrame:

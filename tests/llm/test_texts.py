@@ -216,6 +216,81 @@ def test_main_text_without_an_article():
     assert H.main_text(unclosed) == f"{STORY}\n\n{STORY}"
 
 
+def brute_keep(found):
+    """The two passes, block by block as the docstring says them."""
+
+    def words(b):
+        out = []
+        for w in re.findall(r"[^\W\d_]+", b.text.lower()):
+            out += list(w) if re.search("[\u3040-\u30ff\u3400-\u9fff]", w) else [w]
+        return out
+
+    texts = [[] if b.linked > 0.33 * len(b.text) else words(b) for b in found]
+    every = [w for t in texts for w in t]
+    best = max(H.STOPS, key=lambda s: sum(w in s for w in every))
+    if sum(w in best for w in every) < 0.05 * len(every):
+        often = [w for w in set(every) if sum(w in t for t in texts) >= 3]
+        best = sorted(often, key=lambda w: (-every.count(w), w))[:30]
+    first = []
+    for b, t in zip(found, texts):
+        z = (sum(w in best for w in t) - 0.15 * len(t)) / math.sqrt(0.15 * 0.85 * len(t)) if t else 0
+        first.append(False if b.linked > 0.33 * len(b.text) else True if t and z >= 1.64 else "thin" if t and z <= -1.64 else "near" if z > 0 else "short")
+    out = []
+    for i, (b, mine) in enumerate(zip(found, first)):
+        sides = [next((k for k in order if isinstance(first[k], bool)), None) for order in (range(i - 1, -1, -1), range(i + 1, len(found)))]
+        left, right = (k is not None and first[k] for k in sides)
+        article = any(x.in_article for x in found)
+        if isinstance(mine, bool):
+            out.append(mine)
+        elif True not in first:
+            out.append(b.in_article if article else mine == "near")
+        elif left == right:
+            out.append(left)
+        elif article:
+            out.append(b.in_article)
+        else:
+            beside = found[sides[0] if left else sides[1]]
+            out.append(mine != "thin" and (b.container == beside.container or (b.heading and right)))
+    return out
+
+
+_PROSE = ["the of and to in", "river house", "the man was in the house by the river and he was happy to be there with all of them", "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma", "Он не был в доме", "и в на не что он"]
+_BLOCKS = st.lists(st.builds(lambda t, k, linked, h, a, c: H.Block(" ".join([t] * k), len(t) * k if linked else 0, h, a, c), st.sampled_from(_PROSE), st.integers(1, 9), st.sampled_from([False, False, False, True]), st.booleans(), st.sampled_from([False, True]), st.integers(0, 2)), max_size=12)
+
+
+@settings(max_examples=400, deadline=None)
+@given(_BLOCKS)
+def test_two_passes_equal_brute_force(found):
+    assert H.final_labels(found, H.first_labels(found)) == brute_keep(found)
+
+
+def test_two_passes_on_all_pages(spark, small):
+    pages = [r["html"] for r in spark.read.parquet(f"{small}/pages.parquet").collect()]
+    same = 0
+    for page in pages:
+        found = H.blocks(page)
+        assert H.main_text(page) == "\n\n".join(b.text for b, good in zip(found, brute_keep(found)) if good)
+        same += H.main_text(page) == H.main_text(page, tags=False)
+    assert len(pages) / 2 < same < len(pages)
+
+
+RUSSIAN = "Он не знал, что это было в доме, и не хотел идти. Но в доме он был не один, и это он знал."
+
+
+def test_other_scripts_have_stop_words_of_their_own():
+    page = f"<ul><li><a href=x>Главная</a><li><a href=y>Новости</a></ul>{''.join(f'<p>{RUSSIAN}</p>' for _ in range(4))}<div>{'товар цена скидка ' * 12}</div><div><a href=z>Контакты</a></div>"
+    assert H.main_text(page) == "\n\n".join([RUSSIAN] * 4)
+    han = "我们的人在这里,他是我的朋友,也是你的朋友。"
+    assert H.main_text("".join(f"<p>{han}{i}</p>" for i in range(5))) == "\n\n".join(f"{han}{i}" for i in range(5))
+
+
+def test_names_and_teasers_do_not_hide_a_page():
+    assert H.main_text(f'<div class="social policy"><p>{STORY}</p></div>') == STORY
+    assert H.main_text(f'<article><h3><a href=x>Teaser</a></h3></article><div><p>{STORY}</p><p>{STORY}</p></div>') == f"{STORY}\n\n{STORY}"
+    for raw in ("iframe src=x", "object data=x", "template", "svg", "noscript", "script"):
+        assert H.main_text(f"<{raw}><p>{STORY}</p>") == STORY
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<article>", "</article>", "<div class='ad'>", "</div>", "<a>", "</a>", "<", ">", "<!--", "-->", "<script>", "</script>", "&amp;", "word ", "<br/>", "<p", '"', "<li>"]), max_size=25).map("".join))
 def test_any_page_has_a_text(page):
