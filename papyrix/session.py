@@ -1,10 +1,15 @@
-"""Session defaults and the shared folder for checkpoints."""
+"""Session defaults, and tables in the shared folder that cut a plan in two."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -20,21 +25,41 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     )
 
 
-def with_checkpoint_dir(spark: SparkSession) -> None:
+def shared_folder(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names; a temporary one only on a local master without that setting."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if shared is None and not sc.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="papyrix-"))
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = _temporary()
+    return shared.rstrip("/")
+
+
+@lru_cache(maxsize=1)
+def _temporary() -> str:
+    folder = tempfile.mkdtemp(prefix="papyrix-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def scratch(spark: SparkSession) -> str:
+    """Where this application's intermediate tables go. Nothing there is needed once the application has ended."""
+    return f"{shared_folder(spark)}/papyrix-{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared checkpoint folder. The plan is a new one: a checkpoint's own keeps the product of
-    its joins' size estimates, which grows with every round of a loop."""
-    spark = df.sparkSession
-    with_checkpoint_dir(spark)
-    made = df.checkpoint()._jdf
-    return DataFrame(spark._jsparkSession.internalCreateDataFrame(made.queryExecution().toRdd(), made.schema(), False), spark)
+    """The rows, written as Parquet to the shared folder and read again: what comes after neither repeats what came
+    before nor depends on the executors that did it, reads only the columns it needs, and knows the table's real size."""
+    path = f"{scratch(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows that may be broadcast: with keys and a few numbers some MB.
+SMALL = 100_000
+
+
+def if_small(table: DataFrame, rows: int = SMALL) -> DataFrame:
+    """A narrow table that cut() gave, marked for broadcast if its number of rows, which is in the files' footers, is
+    within the bound; else as it is, and the join shuffles it."""
+    return F.broadcast(table) if table.count() <= rows else table
