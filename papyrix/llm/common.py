@@ -1,18 +1,20 @@
-"""What the training-data operators share: tables, words, stable hashes, checkpoints."""
+"""What the training-data operators share: tables, words, stable hashes, bit tables."""
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from papyrix.session import cut, if_small, shared_folder  # noqa: F401 - for the operators
+
 #: Words are runs of anything but ASCII white space, which is what bytes.split() cuts at.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -25,52 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """Texts are long: fewer rows than the default 10,000 go to Python at once, unless the session asks for fewer yet."""
-    conf = df.sparkSession.conf
-    if not 0 < int(conf.get(ARROW_ROWS)) <= rows:
-        conf.set(ARROW_ROWS, str(rows))
-    return df
-
-
-def with_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the shared folder that spark.checkpoint.dir names; only a local master may fall back to a temporary one."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if shared is None and not sc.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="papyrix-"))
-
-
 def ship(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """A broadcast of ``value``, whose classes the executors needn't have installed; each task loads it by a call."""
     data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
     return lambda: cloudpickle.loads(data.value)
 
 
-def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Writes the rows to the shared checkpoint folder and goes on from there.
-
-    A checkpoint keeps its plan's size estimate, and a join's is the product of its sides': over the rounds of a loop
-    that number would grow to billions of digits. So a new plan is made of the checkpointed rows.
-    rows: for narrow tables that go into loops, how many rows a partition should have; fewer partitions, if that makes
-    fewer, spare each later shuffle a file for each of them."""
-    spark = df.sparkSession
-    with_checkpoint_dir(spark)
-    made = df.checkpoint()._jdf
-    rdd = made.queryExecution().toRdd()
-    out = DataFrame(spark._jsparkSession.internalCreateDataFrame(rdd, made.schema(), False), spark)
-    if rows is None or rdd.getNumPartitions() == 1:
-        return out
-    wanted = -(-out.count() // rows) or 1
-    return out.coalesce(wanted) if wanted < rdd.getNumPartitions() else out
-
-
 def ascii_lower(text: Column) -> Column:
     """A-Z only. lower() does the same, faster, where every character is ASCII."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
@@ -113,10 +75,10 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     return mixed(out + np.uint64(n))
 
 
-def text_batches(batches, size: int = 8 << 20) -> Iterator[tuple]:
-    """Splits Arrow batches so that each holds about ``size`` bytes of text (its second column), one row at least."""
+def text_batches(batches: Iterator[pa.RecordBatch], size: int = 4 << 20, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Splits Arrow batches, which Spark bounds at 64 MB, so that each holds about ``size`` bytes of text, one row at least."""
     for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         part = np.cumsum(lengths, dtype=np.int64) // size
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:]):
@@ -124,7 +86,15 @@ def text_batches(batches, size: int = 8 << 20) -> Iterator[tuple]:
                 yield batch.slice(a, b - a)
 
 
-# Fixed-size bit tables, made and probed by SQL functions: a false positive costs a row, nothing is ever missed.
+# Bit tables, made and probed by SQL functions: a false positive costs a row, nothing is ever missed.
+
+#: 2**30 bits are 128 MB, which may be broadcast at any input size; beyond what that holds more rows are let through.
+LEAST_BITS, MOST_BITS = 16, 30
+
+
+def bits_for(entries: int, each: int = 16) -> int:
+    """Size of a table for so many entries, ``each`` bits for one, within the bounds."""
+    return min(MOST_BITS, max(LEAST_BITS, (entries * each - 1).bit_length()))
 
 
 def slot(value: Column, bits: int) -> Column:
@@ -132,8 +102,8 @@ def slot(value: Column, bits: int) -> Column:
     return F.pmod(value, F.lit(1 << bits)) + 1
 
 
-def bit_table(slots: DataFrame, bits: int) -> DataFrame:
-    """One row of 4 KB for each 32,768 slots of column ``slot``: at most 2**bits / 8 bytes, whatever the input."""
+def bit_table(slots: DataFrame) -> DataFrame:
+    """One row of 4 KB for each 32,768 slots of column ``slot``."""
     return slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
 
 
@@ -143,16 +113,45 @@ def bit_is_set(bitmap: Column, at: Column) -> Column:
     return F.coalesce(F.call_function("shiftright", byte, (position % 8).cast("int")) % 2 == 1, F.lit(False))
 
 
-PROBE_BITS = 24
+def marked_in(rows: DataFrame, keys: DataFrame, at: Column, of: Column, name: str) -> DataFrame:
+    """``rows`` with a column ``name``: whether the hash ``at`` may be among the hashes ``of`` of ``keys``, a table that
+    cut() gave, so its size is known."""
+    bits = bits_for(keys.count())
+    probe = F.broadcast(bit_table(keys.select(slot(of, bits).alias("slot"))).select(F.col("bucket").alias("_bucket"), F.col("bitmap").alias("_bitmap")))
+    out = rows.withColumn("_at", slot(at, bits)).join(probe, F.bitmap_bucket_number("_at") == F.col("_bucket"), "left")
+    return out.withColumn(name, bit_is_set(F.col("_bitmap"), F.col("_at"))).drop("_at", "_bucket", "_bitmap")
+
+
+def maybe_in(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """The rows whose value of ``column``, a hash, may be among that column's of ``keys``."""
+    return marked_in(rows, keys, F.col(column), F.col(column), "_maybe").filter("_maybe").drop("_maybe")
+
+
+#: A group is frequent if it holds more than this part of all rows, so there are no more frequent groups than that.
+FREQUENT = 4096
+
+
+def join_counted(rows: DataFrame, groups: DataFrame, on: list[str], count: str) -> DataFrame:
+    """Inner join of rows with one row per group, which counts the group's rows. Frequent groups, FREQUENT at most, are
+    broadcast; only rows of the others, none of which is large, are shuffled by their key."""
+    limit = (groups.agg(F.sum(count)).first()[0] or 0) / FREQUENT
+    often = groups.filter(F.col(count) > limit)
+    met = rows.join(F.broadcast(often), on)
+    rest = rows.join(F.broadcast(often.select(*on)), on, "left_anti")
+    return met.unionByName(rest.join(groups.filter(F.col(count) <= limit), on))
+
+
+def anti_counted(rows: DataFrame, groups: DataFrame, on: list[str], count: str) -> DataFrame:
+    """The rows whose group isn't among ``groups``, in the same way."""
+    limit = (groups.agg(F.sum(count)).first()[0] or 0) / FREQUENT
+    often, others = groups.filter(F.col(count) > limit).select(*on), groups.filter(F.col(count) <= limit).select(*on)
+    return rows.join(F.broadcast(often), on, "left_anti").join(others, on, "left_anti")
 
 
-def without_keys(docs: DataFrame, keys: DataFrame, key: str, bits: int = PROBE_BITS) -> DataFrame:
-    """Rows of ``docs`` whose key isn't among ``keys`` (one column). Rows that a fixed-size bit table clears pass
-    straight through; only the others, whole rows, are shuffled for the exact anti join. Null keys stay."""
+def without_keys(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``docs`` whose key isn't among ``keys`` (one column). Rows that a bit table clears pass straight through;
+    the others, few more than go, are shuffled for the exact anti join. Null keys stay."""
     gone = cut(keys.select(F.col(key).alias("_gone")).filter("_gone is not null").distinct())
-    probe = F.broadcast(bit_table(gone.select(slot(F.xxhash64("_gone"), bits).alias("slot")), bits))
-    rows = docs.select(F.struct("*").alias("_in"), slot(F.xxhash64(docs[key]), bits).alias("_at"))
-    rows = rows.join(probe, F.bitmap_bucket_number("_at") == F.col("bucket"), "left")
-    maybe = F.coalesce(bit_is_set(F.col("bitmap"), F.col("_at")), F.lit(False))
-    stays = rows.filter(maybe).join(gone, F.col(f"_in.{key}") == F.col("_gone"), "left_anti")
-    return rows.filter(~maybe).select("_in.*").unionByName(stays.select("_in.*"))
+    rows = marked_in(docs.select(F.struct("*").alias("_in")), gone, F.xxhash64(F.col(f"_in.`{key}`")), F.xxhash64("_gone"), "_maybe")
+    stays = rows.filter("_maybe").join(gone, F.col(f"_in.`{key}`") == F.col("_gone"), "left_anti")
+    return rows.filter(~F.col("_maybe")).select("_in.*").unionByName(stays.select("_in.*"))

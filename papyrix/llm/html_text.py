@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import bounded_batches
+from papyrix.llm.common import text_batches
 
 # The commonest function words of four languages.
 STOP_WORDS = {
@@ -312,10 +312,10 @@ def extract(pages: DataFrame, key: str = "page_id", page: str = "html", also: tu
     columns = [key, *also]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_batches(batches, column=len(columns)):
             texts = pa.array([main_text(value.as_py()) for value in batch.column(len(columns))], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], texts], [*(f"c{i}" for i in range(len(columns))), "text"])
 
     kinds = ", ".join(f"c{i} {pages.schema[c].dataType.simpleString()}" for i, c in enumerate(columns))
-    out = bounded_batches(pages).select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], F.col(page).alias("page")).mapInArrow(run, f"{kinds}, text string")
+    out = pages.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], F.col(page).alias("page")).mapInArrow(run, f"{kinds}, text string")
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], "text", F.length("text").cast("bigint").alias("n_chars"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrix.llm.automaton import Dfa, parse, reverse
-from papyrix.llm.common import bounded_batches, ship
+from papyrix.llm.common import ship, text_batches
 
 _HEAD = r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 
@@ -117,12 +117,12 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with_rules = shipped()
-        for batch in batches:
+        for batch in text_batches(batches):
             found = [[{"kind": k, "start": a, "end": b} for k, a, b in with_rules.spans(value.as_py())] for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(item))], ["key", "secrets"])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = bounded_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, secrets array<struct<kind:string,start:bigint,end:bigint>>")
+    out = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, secrets array<struct<kind:string,start:bigint,end:bigint>>")
     return out.withColumnRenamed("key", key)
 
 
@@ -150,9 +150,9 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tupl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with_rules = shipped()
-        for batch in batches:
+        for batch in text_batches(batches, column=at):
             columns = batch.columns
             columns[at] = pa.array([clean(with_rules, value.as_py()) for value in batch.column(at)], batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return bounded_batches(docs).mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import WordHashes, bounded_batches, cut, ship, text_batches, words_of
+from papyrix.llm.common import WordHashes, cut, ship, text_batches, words_of
 
 DEPTH = 5
 MIN_GAIN = 12.0
@@ -110,7 +110,7 @@ def counts(docs: DataFrame, text: str) -> DataFrame:
         for kind, tally in enumerate(tallies):
             yield tally.rows(kind)
 
-    made = bounded_batches(docs).select(F.lit(0).alias("one"), F.col(text).alias("text")).mapInArrow(run, "kind int, value bigint, n bigint")
+    made = docs.select(F.lit(0).alias("one"), F.col(text).alias("text")).mapInArrow(run, "kind int, value bigint, n bigint")
     return made.groupBy("kind", "value").agg(F.sum("n").alias("n"))
 
 
