@@ -6,18 +6,23 @@ its 4-grams; where a 4-gram isn't known, by the 3-grams inside it, then 2-grams,
 the mean over its parts times the model's unseen-word weight. The language with the largest sum wins; ties go to the
 smaller name.
 
-Training counts words of whole labelled texts. Documents are a sample bounded by ``max_docs`` (smallest hash of the
-key), words are those of the highest counts up to ``max_words`` a language, so the model that goes to every task has a
-bounded size; n-grams are counted on the same documents' distinct words, weighted by count.
-
-Words are runs of letters, lower-cased. Text without a letter, null text, or a model without languages give "und" and
-score 0. Null languages don't train. Repeated keys are sampled together. An empty table gives an empty result.
+Training counts words of whole labelled texts. Documents are a sample: of each language the ``max_docs`` with the smallest
+hash of the key, so that every language stays a class at every size. Known words are those that the sample has twice or
+more, as what is seen once tells no more than its parts; n-grams are counted on all of its words, weighted by count.
+
+Words are runs of letters (Unicode L) and of marks (M) between or behind them, lower-cased; numerals such as one half or
+a superscript two are no letters. Text without a letter, null text, or a model without languages give "und" and score 0.
+Null languages don't train. Repeated keys are sampled together, a null key like any other. Rows that repeat are predicted
+each; texts of any length are taken whole; ties go to the smaller name. Columns may have any names. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import sys
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -27,12 +32,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import bounded_batches, ship, text_batches
+from papyrix.llm.common import cut, if_small, ship, text_batches
+
+
+def _class(*categories: str) -> str:
+    """The characters of some Unicode categories as ranges for a regular expression's class."""
+    points = [p for p in range(sys.maxunicode + 1) if unicodedata.category(chr(p)) in categories]
+    starts = [p for p, before in zip(points, [-2, *points]) if p != before + 1]
+    ends = [p for p, after in zip(points, [*points[1:], -2]) if after != p + 1]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+
 
-LETTERS = re.compile(r"[^\W\d_]+")
+_LETTER = rf"[^\W\d_{_class('Nl', 'No')}]"
+LETTERS = re.compile(rf"{_LETTER}+(?:[{_class('Mn', 'Mc', 'Me')}]+{_LETTER}*)*")
 LONGEST = 4
-MAX_DOCS = 20_000
-MAX_WORDS = 50_000
+MAX_DOCS = 5_000
+LEAST_WORDS = 2
 UNDETERMINED = "und"
 #: A word's mean part score is worth this many words: unseen words are rarer evidence than a frequent known word.
 UNSEEN = 1.0
@@ -43,8 +58,8 @@ _FLUSH = 150_000
 PIECE = 2 << 20
 
 
-def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(lang, word, n) over whole texts; counts leave a task whenever it holds many, so its memory is bounded."""
+def word_counts(labelled: DataFrame) -> DataFrame:
+    """labelled: (lang, text). (lang, word, n) over whole texts; counts leave a task whenever it holds many, so its memory is bounded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = defaultdict(Counter)
@@ -54,15 +69,14 @@ def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
             counts.clear()
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], ["lang", "word", "n"])
 
-        for batch in batches:
+        for batch in text_batches(batches):
             for name, value in zip(batch.column(0), batch.column(1)):
                 counts[name.as_py()].update(LETTERS.findall(value.as_py().lower()))
                 if sum(map(len, counts.values())) > _FLUSH:
                     yield flushed()
         yield flushed()
 
-    rows = bounded_batches(docs).select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
-    return rows.mapInArrow(run, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return labelled.select("lang", "text").mapInArrow(run, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def parts(word: str, size: int) -> list[str]:
@@ -70,22 +84,28 @@ def parts(word: str, size: int) -> list[str]:
     return [marked[i : i + size] for i in range(max(1, len(marked) - size + 1))]
 
 
+def gram_counts(words: DataFrame) -> DataFrame:
+    """words: (lang, word, n). (lang, size, part, n) of the parts() of all words, weighted by their counts."""
+    marked = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
+    of = lambda size: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(marked) - size + 1)), lambda i: F.struct(F.lit(size).alias("size"), F.substring(marked, i, F.lit(size)).alias("part")))
+    every = words.select("lang", "n", F.explode(F.concat(*[of(size) for size in range(1, LONGEST + 1)])).alias("g"))
+    return every.groupBy("lang", "g.size", "g.part").agg(F.sum("n").alias("n"))
+
+
 class LanguageModel:
-    """Scores words; made from bounded word counts."""
+    """Scores words; made from the counts of each language's words, and of its parts by size if these aren't those of the words."""
 
-    def __init__(self, counts: dict[str, dict[str, int]]):
+    def __init__(self, counts: dict[str, dict[str, int]], grams: list[dict[str, dict[str, int]]] | None = None):
         self.languages = sorted(counts)
-        n = len(self.languages)
         self.words = self._table(counts)
-        self.grams = []
-        for size in range(1, LONGEST + 1):
-            grams: dict[str, Counter] = {name: Counter() for name in self.languages}
+        if grams is None:
+            grams = [{name: Counter() for name in counts} for _ in range(LONGEST)]
             for name, of in counts.items():
                 for word, c in of.items():
-                    for g in parts(word, size):
-                        grams[name][g] += c
-            self.grams.append(self._table(grams))
-        self.unknown = np.zeros(n)
+                    for size, table in enumerate(grams, 1):
+                        table[name].update({g: c * k for g, k in Counter(parts(word, size)).items()})
+        self.grams = [self._table(of) for of in grams]
+        self.unknown = np.zeros(len(self.languages))
 
     def _table(self, counts: dict) -> tuple[dict[str, int], np.ndarray]:
         """Row of each entry, and the rows."""
@@ -152,16 +172,28 @@ def centred(rows: np.ndarray) -> np.ndarray:
     return rows - rows.mean(axis=1, keepdims=True) if rows.size else rows
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS) -> LanguageModel:
-    """Fits on at most ``max_docs`` labelled documents and ``max_words`` words a language."""
-    labelled = docs.select(key, text, lang).filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sample = labelled.select(F.col(key).alias("_k")).distinct().orderBy(F.xxhash64("_k", F.lit(17)), "_k").limit(max_docs)
-    chosen = labelled.join(F.broadcast(sample), labelled[key].eqNullSafe(sample["_k"]), "left_semi")
-    ranked = word_counts(chosen, text, lang).withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word")))
-    counts: dict[str, dict[str, int]] = defaultdict(dict)
-    for row in ranked.filter(F.col("_rank") <= max_words).select("lang", "word", "n").toArrow().to_pylist():
+def sampled(labelled: DataFrame, key: str, lang: str, max_docs: int, salts: int = 64) -> DataFrame:
+    """The rows of each language with the ``max_docs`` smallest hashes of the key. A language's hashes are ranked in salted
+    groups first, so that none is ranked whole in one task; what meets there is ``salts`` times ``max_docs`` at most."""
+    hashed = labelled.withColumn("_h", F.xxhash64(F.col(key), F.lit(17)))
+    ranked = lambda rows, *by: rows.withColumn("_n", F.row_number().over(W.partitionBy(*by).orderBy("_h"))).filter(F.col("_n") <= max_docs).drop("_n")
+    few = ranked(hashed.select(F.col(lang).alias("_lang"), "_h", F.pmod("_h", F.lit(salts)).alias("_salt")).distinct(), "_lang", "_salt")
+    limits = cut(ranked(few, "_lang").groupBy("_lang").agg(F.max("_h").alias("_limit")))
+    return hashed.join(if_small(limits), F.col(lang) == F.col("_lang")).filter("_h <= _limit").drop("_h", "_lang", "_limit")
+
+
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", max_docs: int = MAX_DOCS, least_words: int = LEAST_WORDS) -> LanguageModel:
+    """Fits on at most ``max_docs`` labelled documents a language (more only if keys repeat)."""
+    labelled = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang is not null and text is not null")
+    words = cut(word_counts(sampled(labelled, "key", "lang", max_docs)))
+    names = sorted(r["lang"] for r in words.select("lang").distinct().toArrow().to_pylist())
+    counts: dict[str, dict[str, int]] = {name: {} for name in names}
+    for row in words.filter(F.col("n") >= least_words).toArrow().to_pylist():
         counts[row["lang"]][row["word"]] = row["n"]
-    return LanguageModel(counts)
+    grams = [{name: {} for name in names} for _ in range(LONGEST)]
+    for row in gram_counts(words).toArrow().to_pylist():
+        grams[row["size"] - 1][row["lang"]][row["part"]] = row["n"]
+    return LanguageModel(counts, grams)
 
 
 def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -184,7 +216,7 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(sure, pa.float64())], ["key", "lang_pred", "score"])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = bounded_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, lang_pred string, score double")
+    out = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, lang_pred string, score double")
     return out.withColumnRenamed("key", key)
 
 
