@@ -1,15 +1,17 @@
 """Exact duplicates by two-pass Bloom filtering, in DataFrame functions only.
 
-Pass one hashes every text to two slots of a counting Bloom filter and keeps the slots that two or more rows hit, as a
-bit table. Pass two probes each row: one whose slots aren't both taken twice has no copy and passes straight through;
-only the others, as narrow (key, digest) rows, are shuffled and grouped by the digest of their whole text.
+Texts are read once, into narrow rows of key and digest that are written; all passes go over these. Pass one hashes every
+digest to two slots of a counting Bloom filter and keeps the slots that two or more rows hit, as a bit table. Pass two
+probes each row: one whose slots aren't both taken twice has no copy and passes straight through; only the others are
+shuffled and grouped by digest. Groups that hold more than a 4,096th of these rows are met by broadcast, so no task gets
+all rows of a large group.
 
-The bit table has a fixed size (2**FILTER_BITS / 8 bytes = 32 MB at most), so it can be broadcast at any input size.
-When the corpus outgrows it, more unique rows pass the probe and are shuffled; results stay the same.
+The bit table's size follows from the number of rows, 128 MB at most, so it can be broadcast at any input size. When the
+corpus outgrows it, more unique rows pass the probe and are shuffled, narrow ones only; results stay the same.
 
 Texts are equal when identical after lower-casing A-Z. A null text counts as empty. The row with the largest key
 stays; a null key is smaller than any other. Of rows that tie on key and text, all count in the group and all stay,
-since nothing tells them apart. An empty table gives an empty result.
+since nothing tells them apart. Columns may have any names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,59 +19,68 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import ascii_lower, bit_is_set, bit_table, slot
+from papyrix.llm.common import anti_counted, ascii_lower, bit_is_set, bit_table, bits_for, cut, join_counted, marked_in, slot
 
-FILTER_BITS = 28
 
+def digest_of(text: Column) -> Column:
+    return F.unhex(F.sha2(ascii_lower(F.coalesce(text, F.lit(""))), 256))
 
-def _slots(text: Column, bits: int) -> tuple[Column, Column]:
-    # lower() only joins texts that ascii_lower() tells apart, so equal texts always share their slots.
-    seen = F.lower(F.coalesce(text, F.lit("")))
+
+def _slots(bits: int) -> tuple[Column, Column]:
     half = 1 << (bits - 1)
-    return slot(F.xxhash64(seen), bits - 1), slot(F.xxhash64(seen, F.lit(1)), bits - 1) + half
+    return slot(F.xxhash64("_sha"), bits - 1), slot(F.xxhash64("_sha", F.lit(1)), bits - 1) + half
 
 
-def repeated_slots(docs: DataFrame, text: str = "text", bits: int = FILTER_BITS) -> DataFrame:
-    """Bit table of the slots that more than one row hits."""
-    hits = docs.select(F.explode(F.array(*_slots(F.col(text), bits))).alias("slot")).groupBy("slot").count()
-    return bit_table(hits.filter("count > 1"), bits)
+def repeated_slots(narrow: DataFrame, bits: int) -> DataFrame:
+    """narrow: (_sha). Bit table of the slots that more than one row hits."""
+    hits = narrow.select(F.explode(F.array(*_slots(bits))).alias("slot")).groupBy("slot").count()
+    return bit_table(hits.filter("count > 1"))
 
 
-def _probed(docs: DataFrame, text: str, bits: int) -> DataFrame:
-    """Rows with ``maybe``: whether a copy may exist."""
-    bits_table = F.broadcast(repeated_slots(docs, text, bits))
-    one, two = _slots(F.col(f"_in.{text}"), bits)
-    out = docs.select(F.struct("*").alias("_in")).withColumn("_one", one).withColumn("_two", two)
+def probed(narrow: DataFrame, bits: int | None = None) -> DataFrame:
+    """narrow: (_key, _sha), which cut() gave. Adds ``maybe``: whether a copy may exist."""
+    bits = bits or bits_for(narrow.count())
+    bits_table = F.broadcast(repeated_slots(narrow, bits))
+    one, two = _slots(bits)
+    out = narrow.withColumn("_one", one).withColumn("_two", two)
     for name in ("_one", "_two"):
         side = bits_table.select(F.col("bucket").alias(f"{name}_k"), F.col("bitmap").alias(f"{name}_b"))
         out = out.join(side, F.bitmap_bucket_number(name) == F.col(f"{name}_k"), "left")
-    return out.select("_in", (bit_is_set(F.col("_one_b"), F.col("_one")) & bit_is_set(F.col("_two_b"), F.col("_two"))).alias("maybe"))
+    return out.select("_key", "_sha", (bit_is_set(F.col("_one_b"), F.col("_one")) & bit_is_set(F.col("_two_b"), F.col("_two"))).alias("maybe"))
+
+
+def _narrow(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return cut(docs.select(F.col(key).alias("_key"), digest_of(F.col(text)).alias("_sha")))
+
+
+def _grouped(narrow: DataFrame, bits: int | None) -> tuple[DataFrame, DataFrame]:
+    """(rows that may have copies with their group's _keep and _size, rows that have none)."""
+    rows = cut(probed(narrow, bits))
+    maybe = rows.filter("maybe").drop("maybe")
+    groups = cut(maybe.groupBy("_sha").agg(F.max("_key").alias("_keep"), F.count("*").alias("_size")))
+    return join_counted(maybe, groups, ["_sha"], "_size"), rows.filter("not maybe").drop("maybe")
 
 
-def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = FILTER_BITS) -> DataFrame:
+def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int | None = None) -> DataFrame:
     """One row per document: key, keep_<key>, group_size, kept, text_sha256."""
-    normal = ascii_lower(F.coalesce(F.col(f"_in.{text}"), F.lit("")))
-    probed = _probed(docs.select(key, text), text, bits)
-    rows = lambda which: probed.filter(which).select(F.col(f"_in.{key}").alias("_key"), F.sha2(normal, 256).alias("_sha"))
-    maybe, alone = rows(F.col("maybe")), rows(~F.col("maybe"))
-    groups = maybe.groupBy("_sha").agg(F.max("_key").alias("_keep"), F.count("*").alias("_size"))
-    out = maybe.join(groups, "_sha").unionByName(alone.select("_key", "_sha", F.col("_key").alias("_keep"), F.lit(1).cast("bigint").alias("_size")))
+    maybe, alone = _grouped(_narrow(docs, key, text), bits)
+    out = maybe.select("_key", "_sha", "_keep", "_size").unionByName(alone.select("_key", "_sha", F.col("_key").alias("_keep"), F.lit(1).cast("bigint").alias("_size")))
     return out.select(
         F.col("_key").alias(key),
         F.col("_keep").alias("keep_id"),
         F.col("_size").alias("group_size"),
         F.col("_key").eqNullSafe(F.col("_keep")).alias("kept"),
-        F.col("_sha").alias("text_sha256"),
+        F.lower(F.hex("_sha")).alias("text_sha256"),
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = FILTER_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns. Rows that can't have a copy pass straight through; the others are
-    joined with the (digest, key) pairs that stay."""
-    normal = ascii_lower(F.coalesce(F.col(f"_in.{text}"), F.lit("")))
-    probed = _probed(docs, text, bits)
-    maybe = probed.filter("maybe").withColumn("_sha", F.sha2(normal, 256)).withColumn("_key", F.col(f"_in.{key}"))
-    keep = maybe.groupBy("_sha").agg(F.max("_key").alias("_keep")).withColumnRenamed("_sha", "_kept_sha")
-    # the losers' and winners' pairs are unique on the right, so a large group of copies isn't one task's work
-    stays = maybe.join(keep, (F.col("_sha") == F.col("_kept_sha")) & F.col("_key").eqNullSafe(F.col("_keep")), "left_semi")
-    return stays.select("_in.*").unionByName(probed.filter(~F.col("maybe")).select("_in.*"))
+def drop_exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int | None = None) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns. Of whole rows only those are shuffled whose key and digest may be
+    those of a row that goes; all others pass straight through."""
+    maybe, _ = _grouped(_narrow(docs, key, text), bits)
+    pair = F.struct(F.col("_sha"), F.col("_key"))
+    gone = cut(maybe.filter(~F.col("_key").eqNullSafe(F.col("_keep"))).groupBy(pair.alias("_pair")).agg(F.count("*").alias("_size")))
+    rows = docs.select(F.struct("*").alias("_in")).withColumn("_pair", F.struct(digest_of(F.col(f"_in.`{text}`")).alias("_sha"), F.col(f"_in.`{key}`").alias("_key")))
+    rows = marked_in(rows, gone, F.xxhash64("_pair"), F.xxhash64("_pair"), "_maybe")
+    stays = anti_counted(rows.filter("_maybe"), gone, ["_pair"], "_size")
+    return rows.filter(~F.col("_maybe")).select("_in.*").unionByName(stays.select("_in.*"))
