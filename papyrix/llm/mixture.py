@@ -6,13 +6,16 @@ cap / weight the level follows from running sums, so no loop over rounds is need
 weight among the rest.
 
 A document is repeated floor(target / size) times whole; for the fraction that is left, a seeded order of the source's
-documents is cut where their words reach it. The order is by md5(seed, key). The cut is found in two levels (65,536
-hash buckets of a source, then the rows of the one bucket that the cut falls in), so no source, however large, is
-sorted in one task; then the one document of that bucket that comes nearest to what is missing is added.
+documents is cut where their words reach it. The order is by md5(seed, key). The cut is found level by level: 256 hash
+buckets of a source, 256 of the one that the cut falls in, then the rows of that, so no source, however large, is sorted
+or gathered in one task; then the one document of that last bucket that comes nearest to what is missing is added.
+
+Words are counted once, into narrow rows that are written; a table of one row per source meets them by broadcast if it is
+small (see if_small), else by a join on the source that the skew join splits.
 
 A null text has size 0. Sources are ordered by code point, null last. Rows that tie on the key share one fate only if
-they are in all respects equal in order; their sizes are counted row by row. An empty table gives an empty result; a
-corpus of empty texts takes nothing.
+they are in all respects equal in order; their sizes are counted row by row. Columns may have any names. An empty table
+gives an empty result; a corpus of empty texts takes nothing.
 """
 
 from __future__ import annotations
@@ -23,11 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import WORD
+from papyrix.llm.common import WORD, cut, if_small
 
 SEED = "mixture-1"
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
+#: Hexadecimal digits of the order's hash that name a bucket, level by level.
+LEVELS = (2, 4)
+MADE = ("size", "source_size", "target", "repetitions", "taken")
 
 
 def n_words(text: Column) -> Column:
@@ -62,52 +68,69 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epoch
     return water_fill(sources.withColumn("weight", weight), max_epochs)
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """One row per document: key, size, source_size, target, repetitions, taken."""
-    rows = docs.select(
-        F.col(key).alias("_key"),
-        F.col(source).alias("source"),
-        n_words(F.col(text)).alias("size"),
-        F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))).alias("_order"),
-    ).withColumn("_bucket", F.substring("_order", 1, 4))
+def _numbered(docs: DataFrame, key: str, text: str, source: str, seed: str, *more: Column) -> DataFrame:
+    order = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    return docs.select(F.col(key).alias("_key"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), order.alias("_order"), *more)
+
+
+def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    return rows.join(if_small(plan), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+
+
+def _plan(rows: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFrame:
+    """One row per source: size, target, whole repetitions, what is left (_rest), and the bucket that this ends in (_cut)
+    with the words of those before it (_below)."""
     targets = source_targets(rows, weights, max_epochs).select(
         F.col("source").alias("_source"),
         "source_size",
         "target",
         F.when(F.col("source_size") > 0, F.floor(F.round(F.col("target") / F.col("source_size"), 9))).otherwise(0).cast("bigint").alias("_whole"),
     )
-    targets = targets.withColumn("_rest", F.greatest(F.round(F.col("target") - F.col("_whole") * F.col("source_size"), 6), F.lit(0.0)))
-
-    # where the fraction ends, first by bucket: sums of at most 65,536 rows for each source
-    buckets = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_words"))
-    running = W.partitionBy("source").orderBy("_bucket")
-    buckets = buckets.withColumn("_below", F.sum("_words").over(running) - F.col("_words"))
-    cuts = (
-        buckets.join(targets, buckets["source"].eqNullSafe(targets["_source"]))
-        .filter((F.col("_below") <= F.col("_rest")) & (F.col("_rest") < F.col("_below") + F.col("_words")))
-        .groupBy("_source")
-        .agg(F.min(F.struct("_bucket", "_below")).alias("_cut"))
-    )
-    plan = targets.join(cuts.withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-
-    # then by row, in that bucket only
-    at_cut = F.col("_bucket") == F.col("_cut._bucket")
-    inside = W.partitionBy("source").orderBy("_order", "_key", "size")
-    edge = (
-        rows.filter(at_cut)
-        .withColumn("_row", F.row_number().over(inside))
-        .withColumn("_miss", F.col("_rest") - F.col("_cut._below") - F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow)))
-        .withColumn("_in", F.col("_miss") >= 0)
-    )
+    rest = F.greatest(F.round(F.col("target") - F.col("_whole") * F.col("source_size"), 6), F.lit(0.0))
+    plan = cut(targets.withColumn("_rest", rest).withColumn("_cut", F.lit("")).withColumn("_below", F.lit(0).cast("bigint")))
+    for digits in LEVELS:
+        inside = _with_plan(rows, plan).filter(F.col("_order").startswith(F.col("_cut")))
+        buckets = inside.groupBy("source", F.substring("_order", 1, digits).alias("_bucket")).agg(F.sum("size").alias("_words"), F.first("_rest").alias("_rest"), F.first("_below").alias("_base"))
+        running = W.partitionBy("source").orderBy("_bucket")
+        buckets = buckets.withColumn("_start", F.col("_base") + F.sum("_words").over(running) - F.col("_words"))
+        found = buckets.filter((F.col("_start") <= F.col("_rest")) & (F.col("_rest") < F.col("_start") + F.col("_words")))
+        found = found.select(F.col("source").alias("_s"), F.col("_bucket").alias("_c"), F.col("_start").alias("_b"))
+        plan = plan.drop("_cut", "_below").join(found, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s")
+        plan = cut(plan.withColumnRenamed("_c", "_cut").withColumnRenamed("_b", "_below"))
+    return plan
+
+
+def _repeated(rows: DataFrame, plan: DataFrame, max_epochs: int) -> DataFrame:
+    """rows: as _numbered() gives them. Adds source_size, target, repetitions, taken."""
+    rows = _with_plan(rows, plan).withColumn("_bucket", F.substring("_order", 1, LEVELS[-1]))
+    at_cut = F.coalesce(F.col("_bucket") == F.col("_cut"), F.lit(False))
+    order = W.partitionBy("source").orderBy("_order", "_key", "size")
+    missing = F.col("_rest") - F.col("_below")
+    edge = rows.filter(at_cut).withColumn("_row", F.row_number().over(order))
+    edge = edge.withColumn("_in", missing - F.sum("size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)) >= 0)
     whole = W.partitionBy("source")
     edge = (
-        edge.withColumn("_missing", F.col("_rest") - F.col("_cut._below") - F.coalesce(F.sum(F.when(F.col("_in"), F.col("size"))).over(whole), F.lit(0)))
+        edge.withColumn("_missing", missing - F.coalesce(F.sum(F.when(F.col("_in"), F.col("size"))).over(whole), F.lit(0)))
         .withColumn("_off", F.when(~F.col("_in"), F.abs(F.col("size") - F.col("_missing"))))
         .withColumn("_best", F.min(F.when(F.col("_off") < F.col("_missing"), F.struct("_off", "_row"))).over(whole))
         .withColumn("_more", (F.col("_in") | F.coalesce(F.col("_row") == F.col("_best._row"), F.lit(False))).cast("int"))
     )
-    rest = rows.filter(~F.coalesce(at_cut, F.lit(False))).withColumn("_more", F.coalesce(F.col("_bucket") < F.col("_cut._bucket"), F.lit(False)).cast("int"))
-    wanted = ["_key", "size", "source_size", "target", "_whole", "_more"]
-    repetitions = F.col("_whole") + F.col("_more")
-    return rest.select(wanted).unionByName(edge.select(wanted)).select(F.col("_key").alias(key), "size", "source_size", "target", repetitions.alias("repetitions"), (F.col("size") * repetitions).alias("taken"))
+    rest = rows.filter(~at_cut).withColumn("_more", F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False)).cast("int"))
+    repetitions = F.least(F.col("_whole") + F.col("_more"), F.lit(max_epochs).cast("bigint"))
+    out = rest.unionByName(edge.select(*rest.columns)).withColumn("repetitions", repetitions)
+    return out.withColumn("taken", F.col("size") * F.col("repetitions"))
+
+
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """One row per document: key, size, source_size, target, repetitions, taken."""
+    rows = cut(_numbered(docs, key, text, source, seed))
+    out = _repeated(rows, _plan(rows, weights, max_epochs), max_epochs)
+    return out.select(F.col("_key").alias(key), *MADE)
+
+
+def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with all their columns and those of mix(), which replace any of the same
+    name. A row says how often it goes in (repetitions); only rows of the bucket that a source ends in are shuffled."""
+    plan = _plan(cut(_numbered(docs, key, text, source, seed)), weights, max_epochs)
+    out = _repeated(_numbered(docs, key, text, source, seed, F.struct("*").alias("_in")), plan, max_epochs).filter("repetitions > 0")
+    return out.select(*[F.col(f"_in.`{c}`").alias(c) for c in docs.columns if c not in MADE], *MADE)

@@ -15,8 +15,9 @@ or one without :// has empty host and path; such pages share the reputation of t
 labels name counts once for each; a null label doesn't count. Without labels nothing is blocked but by rule. An empty
 table gives an empty result.
 
-Counts are aggregated to hosts before any join, and pages are joined with one row per host, so a host with a third of
-all pages is split by the skew join or broadcast when the host table is small.
+Pages are read once, into narrow rows that are written. Outcomes are counted by host before the levels meet, and pages
+meet one row per host: hosts with more than a 4,096th of all pages by broadcast, the others by a shuffle, so no task gets
+all pages of a large host. Rows that repeat are judged each. Columns may have any names.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import UPPER
+from papyrix.llm.common import UPPER, cut, join_counted
 
 RULES = (
     ("com", "/", "allow"),
@@ -83,11 +84,11 @@ def _shrunk(level: DataFrame, parents: DataFrame, on: list[str], name: str) -> D
 
 def host_reputation(labelled: DataFrame, z: float = Z) -> DataFrame:
     """labelled: (host, bad 0/1). One row per labelled host, domain and suffix: level, name, mean, bound."""
-    counts = labelled.filter("bad is not null").groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").cast("double").alias("bad"))
+    counts = cut(labelled.filter("bad is not null").groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").cast("double").alias("bad")))
     counts = counts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
     root = counts.agg(F.coalesce(F.sum("bad") / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.0)).alias("mean")).withColumn("root", F.lit(1))
-    suffixes = _shrunk(_level(counts, ["suffix"]).withColumn("root", F.lit(1)), root, ["root"], "suffix")
-    domains = _shrunk(_level(counts, ["domain", "suffix"]), suffixes, ["suffix"], "domain")
+    suffixes = cut(_shrunk(_level(counts, ["suffix"]).withColumn("root", F.lit(1)), root, ["root"], "suffix"))
+    domains = cut(_shrunk(_level(counts, ["domain", "suffix"]), suffixes, ["suffix"], "domain"))
     hosts = _shrunk(_level(counts, ["host", "domain"]), domains, ["domain"], "host")
     rows = lambda df, level: df.select(F.lit(level).alias("level"), F.col(level).alias("name"), "mean", (F.col("mean") - z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("total") + 1))).alias("bound"))
     return rows(suffixes, "suffix").unionByName(rows(domains, "domain")).unionByName(rows(hosts, "host"))
@@ -95,15 +96,16 @@ def host_reputation(labelled: DataFrame, z: float = Z) -> DataFrame:
 
 def judge(pages: DataFrame, outcomes: DataFrame, key: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str, str]] = RULES, limit: float = LIMIT, z: float = Z) -> DataFrame:
     """outcomes: (key, bad 0/1). One row per page: key, host, path, rule, verdict, bad_rate, bad_bound."""
-    parsed = pages.select(F.col(key).alias("_key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    parsed = cut(pages.select(F.col(key).alias("_key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")))
     labelled = parsed.select("_key", "host").join(outcomes.select(F.col(key).alias("_key"), F.col("bad")), "_key")
-    known = host_reputation(labelled, z)
+    known = cut(host_reputation(labelled, z))
     # the levels meet at distinct hosts; pages are joined once, by host
-    hosts = parsed.select("host").distinct().withColumn("suffix", suffix_of(F.col("host"))).withColumn("domain", domain_of(F.col("host")))
+    hosts = parsed.groupBy("host").agg(F.count("*").alias("_pages")).withColumn("suffix", suffix_of(F.col("host"))).withColumn("domain", domain_of(F.col("host")))
     for level in ("host", "domain", "suffix"):
         side = known.filter(F.col("level") == level).select(F.col("name").alias(level), F.struct("mean", "bound").alias(f"_{level}"))
         hosts = hosts.join(side, level, "left")
-    out = parsed.join(hosts.select("host", F.coalesce("_host", "_domain", "_suffix").alias("_found")), "host")
+    found = cut(hosts.select("host", "_pages", F.coalesce("_host", "_domain", "_suffix").alias("_found")))
+    out = join_counted(parsed, found, ["host"], "_pages")
     match = matching_rule(F.col("host"), F.col("path"), rules)
     out = out.withColumn("_match", match)
     verdict = F.coalesce(F.col("_match.verdict"), F.when(F.col("_found.bound") > limit, "block").otherwise("allow"))
