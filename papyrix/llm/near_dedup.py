@@ -11,14 +11,17 @@
    neighbourhood, or both are beyond FAR, and then they go on to the bucket's next round with another centre. What has
    gone through MAX_ROUNDS rounds is a neighbourhood as it is.
 4. Components of the confirmed edges are labelled. A neighbourhood with more than one label is compared in blocks of
-   about BLOCK members, those of its largest label only with the others: a task gets two blocks and multiplies their incidence matrices, and gives only links that join
-   different labels. So all pairs of a bucket are decided, but never emitted as rows.
+   about BLOCK members and ELEMENTS shingles, those of its largest label only with the others: a task gets two blocks,
+   multiplies their incidence matrices, and gives only links that join different labels. So all pairs of a bucket are
+   decided, but never emitted as rows.
 
 With 40 bands of 5 rows a pair at similarity 0.8 shares no bucket with probability (1 - 0.8**5)**40 = 1.2e-7.
 
 Sets of fewer than t / (1 - t) shingles can only be linked with equal sets and get no buckets. Null and blank texts have
 an empty set and are linked with nothing. A null key is never linked: its component is null and it is kept. Rows that
-share a key are one vertex. An empty table gives an empty result. Texts of any length are taken whole.
+share a key are one vertex, whose set is the one of theirs with the smallest digest; what is linked with any text that
+has this as its smallest key has its component. Columns may have any names. An empty table gives an empty result. Texts of
+any length are taken whole.
 """
 
 from __future__ import annotations
@@ -31,16 +34,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrix.llm.common import WordHashes, bit_is_set, bit_table, bounded_batches, cut, mixed, shingles, slot, without_keys, words_of
-from papyrix.llm.components import connected_components
+from papyrix.llm.common import WordHashes, bit_is_set, bit_table, bits_for, cut, if_small, join_counted, marked_in, mixed, shingles, slot, text_batches, without_keys, words_of
+from papyrix.operators import graph
 
 ROWS = 5
 BANDS = 40
 FAR = 0.4
 MAX_ROUNDS = 5
-BLOCK = 256
-PROBE_BITS = 24
-NARROW = 50_000
+BLOCK, ELEMENTS = 256, 1 << 20
 
 _U = np.uint64
 _SEED = 20240229
@@ -90,36 +91,38 @@ def signed(docs: DataFrame, key: str, text: str, size: int, rows: int, bands: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, orders = WordHashes(), bin_orders(rows * bands)
-        for batch in batches:
+        for batch in text_batches(batches):
             n, d1, d2, buckets = [], [], [], []
             for value in batch.column(1):
                 hashes = shingle_set(value.as_py(), size, words)
-                digest = xxhash.xxh3_128_intdigest(hashes)
+                one, two = digest_of(hashes)
                 n.append(len(hashes))
-                d1.append((digest >> 64) - (1 << 63))
-                d2.append((digest & ((1 << 64) - 1)) - (1 << 63))
+                d1.append(one)
+                d2.append(two)
                 buckets.append(band_hashes(signature(hashes, orders), rows).astype(np.int64) if len(hashes) >= max(1, least) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))], ["key", "n", "d1", "d2", "bands"])
 
-    return bounded_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, bands array<bigint>")
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, bands array<bigint>")
+
+
+def digest_of(hashes: np.ndarray) -> tuple[int, int]:
+    whole = xxhash.xxh3_128_intdigest(hashes)
+    return (whole >> 64) - (1 << 63), (whole & ((1 << 64) - 1)) - (1 << 63)
 
 
 def sets_of(docs: DataFrame, vertices: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(v, set) for the vertices asked for. A bit table of fixed size keeps most other texts from being read by Python."""
-    probe = F.broadcast(bit_table(vertices.select(slot(F.xxhash64("v"), PROBE_BITS).alias("slot")), PROBE_BITS))
-    rows = docs.select(F.col(key).alias("v"), F.col(text).alias("text")).withColumn("_at", slot(F.xxhash64("v"), PROBE_BITS))
-    rows = rows.join(probe, F.bitmap_bucket_number("_at") == F.col("bucket")).filter(bit_is_set(F.col("bitmap"), F.col("_at"))).select("v", "text")
+    """vertices: (v, d1, d2), which cut() gave. (v, set) for each. A bit table keeps most other texts from Python."""
+    rows = marked_in(docs.select(F.col(key).alias("v"), F.col(text).alias("text")), vertices, F.xxhash64("v"), F.xxhash64("v"), "_maybe").filter("_maybe").select("v", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                found = [shingle_set(value.as_py(), size, words).astype(np.int64) for value in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))], ["v", "set"])
+        for batch in text_batches(batches):
+            found = [shingle_set(value.as_py(), size, words) for value in batch.column(1)]
+            digests = [digest_of(s) for s in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([d[k] for d in digests], pa.int64()) for k in (0, 1)], pa.array([s.astype(np.int64) for s in found], pa.list_(pa.int64()))], ["v", "d1", "d2", "set"])
 
-    made = rows.mapInArrow(run, f"v {docs.schema[key].dataType.simpleString()}, set array<bigint>")
-    return made.join(vertices, "v", "left_semi").dropDuplicates(["v"])
+    made = rows.mapInArrow(run, f"v {docs.schema[key].dataType.simpleString()}, d1 bigint, d2 bigint, set array<bigint>")
+    return made.join(vertices, ["v", "d1", "d2"], "left_semi").dropDuplicates(["v"]).select("v", "set")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -168,14 +171,26 @@ def block_links(sets: list[np.ndarray], labels: list, percent: int, width: int =
 
 
 def _inner_links(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, kind: str) -> DataFrame:
-    """groups (g, v): links (a, b) between members of a group that have different labels."""
-    named = groups.join(labels, "v", "left").select("g", "v", F.coalesce("label", "v").alias("label"))
+    """groups (g, v, n): links (a, b) between members of a group that have different labels. n: the set's size."""
+    named = cut(groups.join(labels, "v", "left").select("g", "v", "n", F.coalesce("label", "v").alias("label")))
     # members of a group's largest label needn't meet each other: they are dealt into blocks of their own
-    sizes = named.groupBy("g", "label").count().groupBy("g").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.max("count").alias("n_main"), F.sum("count").alias("n"))
+    of_label = named.groupBy("g", "label").agg(F.count("*").alias("members"), F.sum("n").alias("elements"))
+    sizes = of_label.groupBy("g").agg(F.max_by(F.struct("label", "members", "elements"), F.struct("members", "label")).alias("main"), F.sum("members").alias("members"), F.sum("elements").alias("elements"))
+    sizes = sizes.filter(F.col("members") > F.col("main.members"))
+    dealt = lambda members, elements: F.ceil(F.greatest(members / BLOCK, elements / ELEMENTS)).cast("int")
+    sizes = cut(
+        sizes.select(
+            "g",
+            "members",
+            F.col("main.label").alias("main"),
+            dealt(F.col("main.members"), F.col("main.elements")).alias("main_blocks"),
+            dealt(F.col("members") - F.col("main.members"), F.col("elements") - F.col("main.elements")).alias("other_blocks"),
+        )
+    )
     inside = F.col("label") == F.col("main")
-    main_blocks, other_blocks = F.ceil(F.col("n_main") / BLOCK).cast("int"), F.ceil((F.col("n") - F.col("n_main")) / BLOCK).cast("int")
+    main_blocks, other_blocks = F.col("main_blocks"), F.col("other_blocks")
     rows = (
-        named.join(sizes.filter("n > n_main"), "g")
+        join_counted(named, sizes, ["g"], "members")
         .withColumn("own", F.when(inside, F.pmod(F.xxhash64("v"), main_blocks)).otherwise(main_blocks + F.pmod(F.xxhash64("v"), other_blocks)).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.when(inside, main_blocks).otherwise(0), main_blocks + other_blocks - 1)))
         .select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "v", "label")
@@ -191,6 +206,12 @@ def _inner_links(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     return rows.groupBy("g", "i", "j").applyInArrow(run, f"a {kind}, b {kind}")
 
 
+def _labels(edges: DataFrame) -> DataFrame:
+    """edges (a, b): (v, label), the smallest vertex that each reaches."""
+    made = graph.components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    return made.select(F.col("node").alias("v"), F.col("component").alias("label"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """One row per document: key, n_shingles, component_id, kept, component's set_id (its smallest key with an equal set).
 
@@ -200,40 +221,49 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     kind = docs.schema[key].dataType.simpleString()
     sketch = cut(signed(docs, key, text, size, rows, bands, least))
     digest = ["n", "d1", "d2"]
-    classes = sketch.filter("n > 0 and key is not null").groupBy(*digest).agg(F.min("key").alias("rep"))
-    reps = classes.select(*digest, F.col("rep").alias("key"))
-    members = sketch.filter("bands is not null").join(reps, ["key", *digest], "left_semi").select(F.explode("bands").alias("bucket"), F.col("key").alias("v")).distinct()
-    stars = cut(_stars(members), NARROW)
-    vertices = stars.select(F.col("c").alias("v")).unionByName(stars.select("v")).distinct()
-    sets = cut(sets_of(docs, vertices, key, text, size))
+    classes = sketch.filter("n > 0 and key is not null").groupBy(*digest).agg(F.min("key").alias("rep"), F.first("bands").alias("bands"))
+    classes = cut(classes)
+    # keys that several texts have: the smallest digest is the vertex
+    twice = cut(classes.groupBy("rep").agg(F.min(F.struct(*digest)).alias("own"), F.count("*").alias("_n")).filter("_n > 1").select("rep", "own"))
+    vertices = classes.filter("bands is not null").join(if_small(twice), "rep", "left").filter(F.col("own").isNull() | (F.col("own") == F.struct(*digest)))
+    members = vertices.select(F.explode("bands").alias("bucket"), F.col("rep").alias("v"))
+    bits = bits_for(classes.count() * bands, 8)
+    shared = members.select(slot(F.col("bucket"), bits).alias("slot")).groupBy("slot").count().filter("count > 1")
+    probe = F.broadcast(bit_table(shared).withColumnRenamed("bucket", "_bucket"))
+    members = members.withColumn("_at", slot(F.col("bucket"), bits)).join(probe, F.bitmap_bucket_number("_at") == F.col("_bucket")).filter(bit_is_set(F.col("bitmap"), F.col("_at")))
+    stars = cut(_stars(cut(members.select("bucket", "v"))))
+    found = stars.select(F.col("c").alias("rep")).unionByName(stars.select(F.col("v").alias("rep"))).distinct()
+    sets = cut(sets_of(docs, cut(vertices.select("rep", "d1", "d2").join(found, "rep", "left_semi").withColumnRenamed("rep", "v")), key, text, size))
 
     similarity = F.col("shared") / (F.col("n_c") + F.col("n_v") - F.col("shared"))
     slack = 1 - percent / 100
     pairs, groups = [], []
     for turn in range(MAX_ROUNDS):
-        found = cut(_confirmed(stars.select("c", "v").distinct(), sets), NARROW)
+        found = cut(_confirmed(stars.select("c", "v").distinct(), sets))
         pairs.append(found.filter(100 * F.col("shared") >= percent * (F.col("n_c") + F.col("n_v") - F.col("shared"))).select(F.col("c").alias("a"), F.col("v").alias("b")))
         near = found.filter(similarity >= 1 - FAR - slack - 1e-9)
-        groups.append(near.select(F.col("c").cast("string").alias("g"), "v").unionByName(near.select(F.col("c").cast("string").alias("g"), F.col("c").alias("v"))).distinct())
+        group = F.col("c").cast("string").alias("g")
+        groups.append(near.select(group, "v", F.col("n_v").alias("n")).unionByName(near.select(group, F.col("c").alias("v"), F.col("n_c").alias("n"))).distinct())
         far = found.filter(similarity <= 1 - FAR + 1e-9).select("c", "v")
         rest = stars.join(far, ["c", "v"], "left_semi").select("bucket", "v")
         if turn < MAX_ROUNDS - 1:
-            stars = cut(_stars(rest), NARROW)
+            stars = cut(_stars(rest))
             if not stars.limit(1).count():
                 break
         else:
-            groups.append(rest.select(F.concat(F.lit("bucket "), F.col("bucket")).alias("g"), "v"))
+            sizes = sets.select("v", F.size("set").alias("n"))
+            groups.append(rest.join(sizes, "v").select(F.concat(F.lit("bucket "), F.col("bucket")).alias("g"), "v", "n"))
     edges = pairs[0]
     for more in pairs[1:]:
         edges = edges.unionByName(more)
-    edges = cut(edges.distinct(), NARROW)
-    labels = connected_components(edges)
+    edges = cut(edges.distinct())
+    labels = _labels(edges)
     near = groups[0]
     for more in groups[1:]:
         near = near.unionByName(more)
-    inner = cut(_inner_links(near.distinct(), labels, sets, percent, kind), NARROW)
+    inner = cut(_inner_links(near.distinct(), labels, sets, percent, kind))
     if inner.limit(1).count():
-        labels = connected_components(edges.unionByName(inner).distinct())
+        labels = _labels(edges.unionByName(inner).distinct())
 
     named = classes.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left").select(*digest, "rep", F.coalesce("label", "rep").alias("label"))
     out = sketch.select("key", *digest).join(named, digest, "left")

@@ -5,7 +5,6 @@ import pytest
 
 from papyrix.llm import near_dedup as N
 from papyrix.llm.common import WordHashes, shingles
-from papyrix.llm.components import connected_components
 
 SCHEMA = "doc_id long, text string"
 
@@ -117,6 +116,6 @@ def test_shingles():
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 101), (103, 101)]
-    got = {r["v"]: r["label"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r["v"]: r["label"] for r in N._labels(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(31), 0), 100: 100, 101: 100, 103: 100}
-    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert N._labels(spark.createDataFrame([], "a long, b long")).count() == 0
