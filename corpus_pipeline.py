@@ -4,8 +4,8 @@
 2. exact: of equal texts the one with the largest doc_id stays.
 3. near: of each group of near-duplicates (five-word shingles, similarity 0.8) the one with the smallest doc_id stays.
 4. benchmark: documents that contain a benchmark item go.
-5. mixture: every source's documents are repeated or sampled towards its target; one row per document that is taken,
-   with how often (repetitions) and how many words that makes (taken).
+5. mixture: every source's documents are repeated or sampled towards its target; the documents that are taken, whole, and
+   behind their columns how often (repetitions) and how many words that makes (taken).
 
 Between the stages run() writes Parquet to the shared folder that spark.checkpoint.dir names and reads it again, so that
 a lost executor costs one stage's tasks at most.
@@ -13,14 +13,13 @@ a lost executor costs one stage's tasks at most.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from papyrix.llm import decontaminate, exact_dedup, language_id, mixture, near_dedup
 from papyrix.llm.common import table
+from papyrix.session import scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +39,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixture.mix(docs).filter(F.col("repetitions") > 0)
+    return mixture.mixed_rows(docs)
 
 
 STAGES = [("language", language), ("exact", exact), ("near", near), ("benchmark", benchmark), ("mixture", mixed)]
@@ -50,10 +49,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if shared is None and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    folder = f"{shared or tempfile.mkdtemp(prefix='papyrix-')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{scratch(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
