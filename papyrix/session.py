@@ -25,6 +25,13 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A table just read, dealt to all cores if its files have fewer splits than there are cores, as one file of one row
+    group has. Large inputs have more and stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names; a temporary one only on a local master without that setting."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
