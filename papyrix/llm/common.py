@@ -13,7 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrix.session import cut, if_small, shared_folder  # noqa: F401 - for the operators
+from papyrix.session import cut, if_small, spread  # noqa: F401 - for the operators
 
 #: Words are runs of anything but ASCII white space, which is what bytes.split() cuts at.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,7 +24,8 @@ _M2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in ("documents", "pages") else rows
 
 
 def ship(spark: SparkSession, value: Any) -> Callable[[], Any]:
