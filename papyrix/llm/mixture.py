@@ -107,13 +107,13 @@ def _repeated(rows: DataFrame, plan: DataFrame, max_epochs: int) -> DataFrame:
     order = W.partitionBy("source").orderBy("_order", "_key", "size")
     missing = F.col("_rest") - F.col("_below")
     edge = rows.filter(at_cut).withColumn("_row", F.row_number().over(order))
-    edge = edge.withColumn("_in", missing - F.sum("size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)) >= 0)
+    edge = edge.withColumn("_inside", missing - F.sum("size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)) >= 0)
     whole = W.partitionBy("source")
     edge = (
-        edge.withColumn("_missing", missing - F.coalesce(F.sum(F.when(F.col("_in"), F.col("size"))).over(whole), F.lit(0)))
-        .withColumn("_off", F.when(~F.col("_in"), F.abs(F.col("size") - F.col("_missing"))))
+        edge.withColumn("_missing", missing - F.coalesce(F.sum(F.when(F.col("_inside"), F.col("size"))).over(whole), F.lit(0)))
+        .withColumn("_off", F.when(~F.col("_inside"), F.abs(F.col("size") - F.col("_missing"))))
         .withColumn("_best", F.min(F.when(F.col("_off") < F.col("_missing"), F.struct("_off", "_row"))).over(whole))
-        .withColumn("_more", (F.col("_in") | F.coalesce(F.col("_row") == F.col("_best._row"), F.lit(False))).cast("int"))
+        .withColumn("_more", (F.col("_inside") | F.coalesce(F.col("_row") == F.col("_best._row"), F.lit(False))).cast("int"))
     )
     rest = rows.filter(~at_cut).withColumn("_more", F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False)).cast("int"))
     repetitions = F.least(F.col("_whole") + F.col("_more"), F.lit(max_epochs).cast("bigint"))
@@ -132,5 +132,5 @@ def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     """The rows of ``docs`` that the mix takes, with all their columns and those of mix(), which replace any of the same
     name. A row says how often it goes in (repetitions); only rows of the bucket that a source ends in are shuffled."""
     plan = _plan(cut(_numbered(docs, key, text, source, seed)), weights, max_epochs)
-    out = _repeated(_numbered(docs, key, text, source, seed, F.struct("*").alias("_in")), plan, max_epochs).filter("repetitions > 0")
-    return out.select(*[F.col(f"_in.`{c}`").alias(c) for c in docs.columns if c not in MADE], *MADE)
+    out = _repeated(_numbered(docs, key, text, source, seed, F.struct("*").alias("_whole_row")), plan, max_epochs).filter("repetitions > 0")
+    return out.select(*[F.col(f"_whole_row.`{c}`").alias(c) for c in docs.columns if c not in MADE], *MADE)
