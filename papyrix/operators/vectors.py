@@ -32,36 +32,62 @@ def normalised(a: Column) -> Column:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, key: str = "vec_id", vector: str = "embedding", query: str = "query_id") -> DataFrame:
     """(query, key, score, rank): the k largest inner products of each query, ties by key.
 
-    The stated queries are one matrix (its size is checked) that each task multiplies with its blocks of vectors; a block
-    gives its own k best of each query, the final ranking is over those. Every vector is read once, nothing else moves.
+    The stated queries are a matrix that each task multiplies with its blocks of vectors; a task gives its own k best of
+    each query, the final ranking is over those, so every vector is read once and nothing else moves. Queries that don't
+    fit into MAX_QUERY_BYTES are asked in several such passes.
     """
-    asked = queries.select(query, vector).toArrow()
-    ids = asked[query].to_pylist()
-    matrix = np.array(asked[vector].to_pylist(), np.float64) if ids else np.zeros((0, 1))
-    if matrix.nbytes > MAX_QUERY_BYTES:
-        raise ValueError("too many queries for one matrix; ask in several calls")
+    asked = queries.select(query, vector).filter(F.col(vector).isNotNull())
+    n, width = asked.agg(F.count("*"), F.max(F.size(vector))).first()
+    parts = max(1, -(-n * (width or 1) * 8 // MAX_QUERY_BYTES))
+    if parts == 1:
+        return _top_k(vectors, asked, k, key, vector, query)
+    found = None
+    for part in range(parts):
+        some = _top_k(vectors, asked.filter(F.pmod(F.xxhash64(query), F.lit(parts)) == part), k, key, vector, query)
+        found = some if found is None else found.unionByName(some)
+    return found
+
+
+def _best(scores: np.ndarray, k: int) -> np.ndarray:
+    """Which columns may be among each row's k best: those that reach the k-th largest score (ties are decided later)."""
+    n = min(k, scores.shape[1])
+    return scores >= np.partition(scores, -n, axis=1)[:, -n][:, None]
+
+
+def _top_k(vectors: DataFrame, asked: DataFrame, k: int, key: str, vector: str, query: str) -> DataFrame:
+    made = asked.toArrow()
+    ids = made[query].to_pylist()
+    matrix = np.array(made[vector].to_pylist(), np.float64) if ids else np.zeros((0, 1))
     shared = vectors.sparkSession.sparkContext.broadcast(matrix)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = shared.value
+        rows, keys, scores = np.zeros(0, np.int64), None, np.zeros(0)
         for batch in batches:
             if batch.num_rows == 0 or len(q) == 0:
                 continue
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            column = batch.column(1)
+            names, column = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
             block = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
-            scores = q @ block.T
-            n = min(k, scores.shape[1])
-            # what reaches the n-th largest score; ties are decided by the final ranking
-            least = np.partition(scores, -n, axis=1)[:, -n][:, None]
-            row, at = np.nonzero(scores >= least)
-            yield pa.RecordBatch.from_arrays([pa.array(row.astype(np.int32)), pa.array(keys[at]), pa.array(scores[row, at])], ["q", "key", "score"])
+            new = q @ block.T
+            row, at = np.nonzero(_best(new, k))
+            rows, scores = np.concatenate([rows, row]), np.concatenate([scores, new[row, at]])
+            keys = names[at] if keys is None else np.concatenate([keys, names[at]])
+            if len(rows) > 4 * k * len(q):
+                # what the task has met so far is cut back to each query's k best
+                order = np.lexsort((-scores, rows))
+                rows, keys, scores = rows[order], keys[order], scores[order]
+                starts = np.searchsorted(rows, rows)
+                last = scores[np.minimum(starts + k, np.searchsorted(rows, rows, "right")) - 1]
+                keep = scores >= last
+                rows, keys, scores = rows[keep], keys[keep], scores[keep]
+        if keys is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int32)), pa.array(keys), pa.array(scores)], ["q", "key", "score"])
 
     kind = vectors.schema[key].dataType.simpleString()
     found = vectors.filter(F.col(vector).isNotNull()).select(key, vector).mapInArrow(run, f"q int, key {kind}, score double")
     order = W.partitionBy("q").orderBy(F.desc("score"), "key")
     best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    names = vectors.sparkSession.createDataFrame(pa.table([pa.array(range(len(ids)), pa.int32()), asked[query].combine_chunks()], ["q", query]))
+    names = vectors.sparkSession.createDataFrame(pa.table([pa.array(range(len(ids)), pa.int32()), made[query].combine_chunks()], ["q", query]))
     return best.join(F.broadcast(names), "q").select(query, F.col("key").alias(key), "score", "rank")
 
 

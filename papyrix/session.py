@@ -32,6 +32,16 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def for_long_texts(spark: SparkSession, rows: int = 500) -> None:
+    """Rows that go to Python at once, for the whole session; applications set it, operators don't. Each running task holds
+    several copies of a batch, inside and outside the JVM."""
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= rows:
+        spark.conf.set(ARROW_ROWS, str(rows))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names; a temporary one only on a local master without that setting."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
