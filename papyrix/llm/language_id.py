@@ -35,16 +35,32 @@ from pyspark.sql import functions as F
 from papyrix.llm.common import cut, if_small, ship, text_batches
 
 
+_CATEGORIES = np.array([unicodedata.category(chr(p)) for p in range(sys.maxunicode + 1)])
+
+
 def _class(*categories: str) -> str:
     """The characters of some Unicode categories as ranges for a regular expression's class."""
-    points = [p for p in range(sys.maxunicode + 1) if unicodedata.category(chr(p)) in categories]
-    starts = [p for p, before in zip(points, [-2, *points]) if p != before + 1]
-    ends = [p for p, after in zip(points, [*points[1:], -2]) if after != p + 1]
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+    points = np.flatnonzero(np.isin(_CATEGORIES, categories))
+    ends = np.flatnonzero(np.diff(points, append=-1) != 1)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(points[starts], points[ends]))
+
+
+_LETTER = f"[{_class('Lu', 'Ll', 'Lt', 'Lm', 'Lo')}]"
+LETTERS = re.compile(f"{_LETTER}+(?:[{_class('Mn', 'Mc', 'Me')}]+{_LETTER}*)*")
+#: Says the same, faster, where neither marks nor numerals other than digits occur.
+_PLAIN = re.compile(r"[^\W\d_]+")
+_ODD = np.append(np.isin(_CATEGORIES[: 1 << 17], ("Nl", "No", "Mn", "Mc", "Me")), True)
+
+
+def words_of_letters(text: str) -> list[str]:
+    """The words of a text, lower-cased."""
+    text = text.lower()
+    if text.isascii() or not _ODD[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), len(_ODD) - 1)].any():
+        return _PLAIN.findall(text)
+    return LETTERS.findall(text)
 
 
-_LETTER = rf"[^\W\d_{_class('Nl', 'No')}]"
-LETTERS = re.compile(rf"{_LETTER}+(?:[{_class('Mn', 'Mc', 'Me')}]+{_LETTER}*)*")
 LONGEST = 4
 MAX_DOCS = 5_000
 LEAST_WORDS = 2
@@ -71,7 +87,7 @@ def word_counts(labelled: DataFrame) -> DataFrame:
 
         for batch in text_batches(batches):
             for name, value in zip(batch.column(0), batch.column(1)):
-                counts[name.as_py()].update(LETTERS.findall(value.as_py().lower()))
+                counts[name.as_py()].update(words_of_letters(value.as_py()))
                 if sum(map(len, counts.values())) > _FLUSH:
                     yield flushed()
         yield flushed()
@@ -157,7 +173,7 @@ class TextScores:
 
     def of(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """For each text its sum, scaled by the root of its number of words; None if it has no letter."""
-        words = [LETTERS.findall(t.lower()) if t else [] for t in texts]
+        words = [words_of_letters(t) if t else [] for t in texts]
         if len(self.rows) > len(self.known) + self.LIMIT:
             self._forget()
         unseen = list(dict.fromkeys(w for of in words for w in of if w not in self.index))
