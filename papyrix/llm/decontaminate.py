@@ -37,7 +37,8 @@ from papyrix.llm.common import WordHashes, bits_for, cut, shingles, text_batches
 
 SIZE = 5
 PERCENT = 80
-MOST_TABLE_BITS = 27
+#: A document has many windows, so few of them may be let through by chance.
+LEAST_TABLE_BITS, MOST_TABLE_BITS = 24, 27
 
 
 def item_shingles(items: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -79,7 +80,7 @@ def bit_tables(hashes: DataFrame, bits: int) -> dict[int, bytes]:
 def document_hits(docs: DataFrame, signature: DataFrame, sets: DataFrame, key: str, text: str, size: int, bits: int | None = None) -> DataFrame:
     """(row, doc, hash, signed): of documents that have a hash of some signature, the windows that may be an item's
     shingle, each once; signed: whether it may be of a signature."""
-    bits = bits or min(MOST_TABLE_BITS, bits_for(sets.count()))
+    bits = bits or min(MOST_TABLE_BITS, max(LEAST_TABLE_BITS, bits_for(sets.count(), 1024)))
     shared = docs.sparkSession.sparkContext.broadcast((bit_tables(signature, bits), bit_tables(sets, bits)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
