@@ -13,7 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrix.session import cut, if_small, spread  # noqa: F401 - for the operators
+from papyrix.session import cut, for_long_texts, if_small, spread  # noqa: F401 - for the operators
 
 #: Words are runs of anything but ASCII white space, which is what bytes.split() cuts at.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,6 +24,7 @@ _M2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for_long_texts(spark)
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return spread(rows) if name in ("documents", "pages") else rows
 
@@ -93,7 +94,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], size: int = 4 << 20, column:
 LEAST_BITS, MOST_BITS = 16, 30
 
 
-def bits_for(entries: int, each: int = 16) -> int:
+def bits_for(entries: int, each: int = 64) -> int:
     """Size of a table for so many entries, ``each`` bits for one, within the bounds."""
     return min(MOST_BITS, max(LEAST_BITS, (entries * each - 1).bit_length()))
 

@@ -39,7 +39,7 @@ def repeated_slots(narrow: DataFrame, bits: int) -> DataFrame:
 
 def probed(narrow: DataFrame, bits: int | None = None) -> DataFrame:
     """narrow: (_key, _sha), which cut() gave. Adds ``maybe``: whether a copy may exist."""
-    bits = bits or bits_for(narrow.count())
+    bits = bits or bits_for(narrow.count(), 16)
     bits_table = F.broadcast(repeated_slots(narrow, bits))
     one, two = _slots(bits)
     out = narrow.withColumn("_one", one).withColumn("_two", two)

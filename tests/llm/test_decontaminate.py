@@ -72,3 +72,29 @@ def test_a_signature_can_not_be_missed(n, percent):
     k = min(n, int(top * (100 - percent) / 100) + 1)
     most_missing = n - -(-percent * n // 100)
     assert k > most_missing
+
+
+def test_signatures_are_what_is_searched(spark):
+    docs, items = fixture(4)
+    d, i = spark.createDataFrame([(k, t, "x") for k, t in docs], DOCS).coalesce(1), spark.createDataFrame(items, ITEMS).coalesce(1)
+    sets = D.item_shingles(i, "item_id", "text", 5).cache()
+    signature = D.signatures(sets, 80).cache()
+    assert signature.count() < sets.count() / 2
+    hits = D.document_hits(d, signature, sets, "doc_id", "text", 5).collect()
+    signed = {r["hash"] for r in signature.collect()}
+    by_row = {}
+    for r in hits:
+        by_row.setdefault(r["row"], []).append(r)
+    # only documents with a signature's hash give anything, and of what they give only that hash is joined to find items
+    assert by_row and all(any(r["hash"] in signed for r in rows) for rows in by_row.values())
+    assert all(r["signed"] == (r["hash"] in signed) for r in hits) and any(not r["signed"] for r in hits)
+    leaking = {x[0] for x in brute(docs, items)}
+    assert leaking <= {r["doc"] for r in hits}
+
+
+def test_rows_that_share_keys(spark):
+    inside = "a b c d e f g h i j"
+    docs = spark.createDataFrame([(1, inside[:9], "x"), (1, inside[8:], "x"), (2, inside, "x"), (2, inside, "x")], DOCS)
+    items = spark.createDataFrame([(5, inside), (5, "z y x w v u")], ITEMS)
+    assert [tuple(r) for r in D.leaks(docs, items).select("doc_id", "item_id", "shared", "n_item").collect()] == [(2, 5, 6, 6)]
+    assert sorted(r["doc_id"] for r in D.drop_leaks(docs, items).collect()) == [1, 1]

@@ -50,7 +50,10 @@ def test_stages_equal_brute_force(spark, small):
     assert {r["doc_id"] for r in four.collect()} == want
     assert one.columns == two.columns == three.columns == four.columns == docs.columns
 
-    final = {r["doc_id"]: r for r in P.run(spark, small).collect()}
+    last = P.run(spark, small)
+    assert last.columns == [*docs.columns, "size", "source_size", "target", "repetitions", "taken"]
+    final = {r["doc_id"]: r for r in last.collect()}
+    assert all((r["text"], r["lang"], r["source"]) == (rows[k]["text"], rows[k]["lang"], rows[k]["source"]) for k, r in final.items())
     assert set(final) <= want and all(1 <= r["repetitions"] <= 3 for r in final.values())
     taken, target = defaultdict(int), {}
     for k, r in final.items():

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -96,6 +97,52 @@ def test_language_edges(spark):
     assert L.identify(docs.limit(0)).count() == 0
 
 
+def brute_words(text):
+    """Runs of letters and marks that begin with a letter."""
+    out, word = [], ""
+    for c in text.lower():
+        kind = unicodedata.category(c)[0]
+        if kind == "L" or (kind == "M" and word):
+            word += c
+        elif word:
+            out.append(word)
+            word = ""
+    return out + [word] if word else out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(), st.sampled_from("ab é½②³Ⅷ1_\u0301\u093f\u0939İ\U0001d400\U000e0101")), max_size=40))
+def test_words_are_letters(text):
+    assert L.words_of_letters(text) == brute_words(text)
+
+
+def test_no_letters(spark):
+    model = L.LanguageModel({"en": {"the": 2}})
+    out = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in L.predict(docs_of(spark, ["½ ②", "³ Ⅷ 12", "", None, "the ½"]), model).collect()}
+    assert out == {0: ("und", 0.0), 1: ("und", 0.0), 2: ("und", 0.0), 3: ("und", 0.0), 4: ("en", 1.0)}
+
+
+def test_every_language_is_sampled(spark):
+    rows = [(i, f"the cat {i % 7} sat", "en", "s", 0) for i in range(300)] + [(1000, "y gath oedd yno", "cy", "s", 0), (None, "y gath", "cy", "s", 0)]
+    docs = spark.createDataFrame(rows, DOC)
+    some = L.sampled(docs, "doc_id", "lang", 5).collect()
+    assert Counter(r["lang"] for r in some) == {"en": 5, "cy": 2}
+    model = L.train(docs, max_docs=5)
+    assert model.languages == ["cy", "en"] and set(model.words[0]) == {"the", "cat", "sat", "y", "gath"}
+    assert {r["lang_pred"] for r in L.predict(docs.filter("doc_id = 1000"), model).collect()} == {"cy"}
+
+
+def test_grams_equal_parts(spark):
+    words = {"en": {"the": 3, "a": 2}, "de": {"der": 4, "über": 1}}
+    rows = [(lang, w, n) for lang, of in words.items() for w, n in of.items()]
+    got = [{} for _ in range(L.LONGEST)]
+    for r in L.gram_counts(spark.createDataFrame(rows, "lang string, word string, n long")).collect():
+        got[r["size"] - 1].setdefault(r["lang"], {})[r["part"]] = r["n"]
+    direct, counted = L.LanguageModel(words), L.LanguageModel(words, got)
+    for a, b in zip(direct.grams, counted.grams):
+        assert a[0] == b[0] and np.allclose(a[1], b[1])
+
+
 def test_unseen_words_back_off():
     model = L.LanguageModel({"en": {"thing": 5, "the": 9}, "de": {"ding": 5, "der": 9}})
     scores = L.TextScores(model)
@@ -356,3 +403,67 @@ def test_least_counts_whole_regions(spark):
     spans = C.repeated_spans(docs, least=400).collect()
     # x and y are too short alone; in document 1 x is a repeat, y is not, and both together are long enough
     assert {(r["doc_id"], r["removed"]) for r in spans} == {(1, True), (1, False), (2, True)}
+
+
+def brute_repeats(rows, least):
+    """rows: (key, text). Spans by a dictionary of chunk texts; which of equal rows is the first is left open."""
+    places = {}
+    for row, (key, text) in enumerate(rows):
+        ends = C.cuts(text) if text else []
+        for a, b in zip([0, *ends], ends):
+            places.setdefault(text[a:b], []).append((key is not None, key or 0, a, row, b))
+    hits = {}
+    for of in places.values():
+        if len(of) > 1:
+            for place in of:
+                hits.setdefault(place[3], []).append((place[2], place[4], len(of), place != min(of)))
+    out = []
+    for row, of in hits.items():
+        regions = []
+        for h in sorted(of):
+            if regions and regions[-1][-1][1] == h[0]:
+                regions[-1].append(h)
+            else:
+                regions.append([h])
+        for region in regions:
+            if region[-1][1] - region[0][0] >= least:
+                spans = []
+                for h in region:
+                    if spans and spans[-1][-1][3] == h[3]:
+                        spans[-1].append(h)
+                    else:
+                        spans.append([h])
+                out += [(rows[row][0], s[0][0], s[-1][1], max(h[2] for h in s), s[0][3]) for s in spans]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_repeats_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    words = lambda n: " ".join("".join(rng.choices("abcdeé", k=rng.randint(2, 9))) for _ in range(n))
+    passages = [words(rng.choice([5, 30, 60])) for _ in range(6)]
+    rows = []
+    for i in range(40):
+        body = [words(rng.randint(0, 30)), *rng.choices(passages, k=rng.randint(0, 3)), words(rng.randint(0, 20))]
+        rows.append((rng.choice([i, i, i, 7, None]), " ".join(body)))
+    rows += [rows[3], rows[3], (None, rows[5][1]), (None, None), (8, ""), (9, "x" * 700), (10, "short text again"), (11, "short text again")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], DOC).coalesce(1)
+    got = sorted((tuple(r) for r in C.repeated_spans(docs).collect()), key=repr)
+    assert got == brute_repeats(rows, C.LEAST) and got
+
+
+def test_equal_rows_and_null_keys_are_documents_of_their_own(spark):
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(60))
+    for keys in ((1, 1), (None, None), (1, None)):
+        rows = [(k, text, "en", "s", 0) for k in keys]
+        out = sorted((r["start"], r["end"], r["removed"]) for r in C.repeated_spans(spark.createDataFrame(rows, DOC)).collect())
+        assert out == [(0, len(text), False), (0, len(text), True)]
+        left = sorted(r["text"] for r in C.remove_repeats(spark.createDataFrame(rows, DOC)).collect())
+        assert left == ["", text]
+
+
+def test_short_texts_are_cut_too(spark):
+    assert any(len(C.cuts("".join(random.Random(i).choices("abcdefghij ", k=32)))) > 1 for i in range(40))
+    clash = spark.createDataFrame([(1, "a b", 5, "x"), (2, None, 6, "y")], "row long, text string, start int, copies string")
+    assert C.repeated_spans(clash, "row").count() == 0 and C.remove_repeats(clash, "row").columns == clash.columns
