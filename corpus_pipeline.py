@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from papyrix.llm import decontaminate, exact_dedup, language_id, mixture, near_dedup
 from papyrix.llm.common import table
-from papyrix.session import scratch
+from papyrix.session import for_long_texts, scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    for_long_texts(spark)
     return language_id.keep_identified(docs)
 
 
@@ -31,6 +32,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    for_long_texts(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
