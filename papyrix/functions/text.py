@@ -101,6 +101,16 @@ def is_acronym(form: Column) -> Column:
     return form.rlike(LETTER) & (form == F.upper(form))
 
 
+def heads(key: Column, skip: tuple[str, ...]) -> Column:
+    """First letters of the words of a name's key that aren't in ``skip``, in one word; null for fewer than two."""
+    counted = F.filter(F.split(key, " "), lambda w: ~w.isin(*skip) & (w != ""))
+    return F.when(F.size(counted) > 1, F.array_join(F.transform(counted, lambda w: F.substring(w, 1, 1)), ""))
+
+
+def may_be_acronym(key: Column) -> Column:
+    return key.rlike(r"^\p{L}{2,8}$")
+
+
 def is_plural_of(a: Column, b: Column) -> Column:
     """By regular endings only; the singular has four letters at least."""
     ends = (a == F.concat(b, F.lit("s"))) | (a == F.concat(b, F.lit("es")))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from papyrix.functions import relations as R
 from papyrix.functions.names import ALIASES, INITIALS_SKIP, alias_keys, name_key_column
-from papyrix.functions.text import is_plural_of
+from papyrix.functions.text import heads, is_plural_of, may_be_acronym
 from papyrix.operators.flat import flat_map
 from papyrix.session import cut
 
@@ -209,10 +209,8 @@ def group_entities(entities: DataFrame, aliases: Mapping[str, Sequence[str]] = A
 def suggest_aliases(groups: DataFrame, least: int = 2) -> DataFrame:
     """groups: (type, key, name, n). Pairs of a type that may be one: an acronym and its long form, singular and plural."""
     often = groups.filter(F.col("n") >= least)
-    skip = F.array(*[F.lit(w) for w in sorted(INITIALS_SKIP)])
-    w = F.filter(F.split("key", " "), lambda x: ~F.array_contains(skip, x))
-    long = often.filter(F.col("key").contains(" ") & (F.size(w) > 1)).select("type", F.array_join(F.transform(w, lambda x: F.substring(x, 1, 1)), "").alias("key"), F.col("name").alias("other"), F.col("n").alias("n_other"))
-    short = often.filter(F.col("key").rlike(r"^\p{L}{2,8}$"))
+    long = often.filter(F.col("key").contains(" ")).select("type", heads(F.col("key"), tuple(sorted(INITIALS_SKIP))).alias("key"), F.col("name").alias("other"), F.col("n").alias("n_other"))
+    short = often.filter(may_be_acronym(F.replace("key", F.lit(" "), F.lit("")))).withColumn("key", F.replace("key", F.lit(" "), F.lit("")))
     acronyms = short.join(long, ["type", "key"]).select("type", F.col("name").alias("short"), F.col("other").alias("long"), F.lit("initials").alias("why"), (F.col("n") + F.col("n_other")).alias("n"))
     # each key's possible singulars, joined by equality
     s = F.col("key")

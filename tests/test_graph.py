@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from papyrix.functions import names as N
 from papyrix.functions import relations as R
+from papyrix.functions import text as X
 from papyrix.operators import graph as G
 from papyrix.sources import stores
 
@@ -21,7 +22,13 @@ def test_names():
     assert N.name_key(None) == "" and N.name_key("La Haya") == "la haya"
     assert N.identity("NATO", "Organization", N.alias_keys()) == ("OTAN", "ORG", "otan")
     assert N.identity(" Foo ", "thing", {}) == ("Foo", "OTRO", "foo")
-    assert N.is_acronym_of("OTAN", "Organización del Tratado del Atlántico Norte") and not N.is_acronym_of("X", "Xenon Yard")
+
+
+def test_acronyms(spark):
+    rows = [("OTAN", "Organización del Tratado del Atlántico Norte"), ("XY", "Xenon Yard"), ("X", "Xenon"), ("X", "Xenon Yard"), ("OT", "Organización del Tratado del Norte")]
+    df = spark.createDataFrame([(i, N.name_key(a), N.name_key(b)) for i, (a, b) in enumerate(rows)], "i int, short string, long string")
+    found = df.filter(X.may_be_acronym(F.col("short")) & (X.heads(F.col("long"), tuple(N.INITIALS_SKIP)) == F.col("short")))
+    assert {r["i"] for r in found.collect()} == {0, 1}
 
 
 def relations(text, **how):
