@@ -1,13 +1,14 @@
 """Language tags by a naive Bayes model over character n-grams, made from labelled texts.
 
-The model's vocabulary is bounded, so it can be broadcast; texts are scored whole. A text of fewer than MIN_LETTERS letters has no tag and
+The model is made from a bounded sample of labelled texts, so it can be broadcast; texts are scored whole. A text of fewer than MIN_LETTERS letters has no tag and
 confidence 0; one below MIN_CONFIDENCE has no tag but keeps its confidence.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,61 +16,72 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from papyrix.session import cut, if_small
+
 MIN_LETTERS, MIN_CONFIDENCE = 40, 0.50
-SIZE, VOCABULARY = 3, 20_000
+#: About so many labelled texts of each language are counted.
+SAMPLE = 5_000
+_BITS, _MASK = 21, (1 << 21) - 1
+_OTHERS = re.compile(r"[\W\d_]+")
 _TAG = T.StructType().add("language", "string").add("confidence", "double")
 
 
-def grams(text: str | None) -> list[str]:
-    """Runs of SIZE characters of the letters of a text, words marked by one space."""
-    clean = " " + " ".join("".join(c if c.isalpha() else " " for c in (text or "").lower()).split()) + " "
-    return [clean[i : i + SIZE] for i in range(len(clean) - SIZE + 1)]
+def codes(text: str | None) -> tuple[np.ndarray, int]:
+    """The runs of three characters in a text's letters, words marked by one space, as numbers; how many letters."""
+    clean = f" {_OTHERS.sub(' ', (text or '').lower()).strip()} "
+    points = np.frombuffer(clean.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return (points[:-2] << 2 * _BITS) | (points[1:-1] << _BITS) | points[2:], int((points != 32).sum())
+
+
+def shown(code: int) -> str:
+    return "".join(chr((code >> k * _BITS) & _MASK) for k in (2, 1, 0))
 
 
-def gram_counts(labelled: DataFrame, text: str = "text", lang: str = "lang", most: int = VOCABULARY) -> dict[str, dict[str, int]]:
-    """Counts of each language's ``most`` commonest grams."""
+def gram_counts(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> dict[str, dict[str, int]]:
+    """Counts of the grams in about ``sample`` texts of each language, those with the smallest hashes, equal ones together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[str, Counter] = defaultdict(Counter)
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[name].update(grams(value))
-            rows = [(name, g, c) for name, of in seen.items() for g, c in of.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.int64()))], ["lang", "gram", "n"])
+            parts: dict[str, list[np.ndarray]] = defaultdict(list)
+            for name, value in zip(batch.column(0), batch.column(1)):
+                parts[name.as_py()].append(codes(value.as_py())[0])
+            for name, of in parts.items():
+                grams, n = np.unique(np.concatenate(of), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams), pa.string()), pa.array(grams), pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
-    n = rows.mapInArrow(run, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    top = n.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))).filter(F.col("r") <= most)
+    sizes = cut(rows.groupBy("lang").agg(F.count("*").alias("_texts")).withColumnRenamed("lang", "_lang"))
+    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("_texts") < sample
+    chosen = rows.join(if_small(sizes), F.col("lang") == F.col("_lang")).filter(draw).select("lang", "text")
+    counted = chosen.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     out: dict[str, dict[str, int]] = defaultdict(dict)
-    for row in top.toArrow().to_pylist():
-        out[row["lang"]][row["gram"]] = row["n"]
+    for name, gram, n in zip(*[counted[c].to_pylist() for c in ("lang", "gram", "n")]):
+        out[name][shown(gram)] = n
     return dict(out)
 
 
 class Detector:
     def __init__(self, counts: dict[str, dict[str, int]]):
         self.names = sorted(counts)
-        seen = sorted({g for c in counts.values() for g in c})
-        self.at = {g: i for i, g in enumerate(seen)}
-        rows = np.full((len(seen), len(self.names)), 0.5)
+        code = lambda gram: (ord(gram[0]) << 2 * _BITS) | (ord(gram[1]) << _BITS) | ord(gram[2])
+        self.grams = np.array(sorted({code(g) for c in counts.values() for g in c}), np.int64)
+        rows = np.full((len(self.grams), len(self.names)), 0.5)
         for k, name in enumerate(self.names):
-            for g, c in counts[name].items():
-                rows[self.at[g], k] += c
-        self.scores = np.log(rows / rows.sum(axis=0)) if seen else rows
+            rows[np.searchsorted(self.grams, [code(g) for g in counts[name]]), k] += list(counts[name].values())
+        self.scores = np.log(rows / rows.sum(axis=0)) if len(self.grams) else rows
 
     def __call__(self, text: str | None) -> tuple[str | None, float]:
-        if sum(c.isalpha() for c in text or "") < MIN_LETTERS or not self.names:
+        found, letters = codes(text)
+        if letters < MIN_LETTERS or len(self.grams) == 0:
             return None, 0.0
-        found = Counter(grams(text))
-        known = [(self.at[g], c) for g, c in found.items() if g in self.at]
-        if not known:
+        at = np.minimum(np.searchsorted(self.grams, found), len(self.grams) - 1)
+        at = at[self.grams[at] == found]
+        if len(at) == 0:
             return None, 0.0
-        at, n = np.array(known).T
-        total = n @ self.scores[at] / math.sqrt(n.sum())
+        total = np.bincount(at, minlength=len(self.grams)) @ self.scores / math.sqrt(len(at))
         share = np.exp(total - total.max())
         confidence = float(share.max() / share.sum())
         return (self.names[int(total.argmax())] if confidence >= MIN_CONFIDENCE else None), round(confidence, 4)

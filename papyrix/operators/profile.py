@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from papyrix.functions import text as X
+from papyrix.session import cut, if_small
 
 
 def counts_by(docs: DataFrame, *columns: str) -> DataFrame:
@@ -73,10 +74,18 @@ def terms_lost(before: DataFrame, after: DataFrame, terms: list[str], text: str
 
 def repeated_ngrams(docs: DataFrame, size: int = 6, text: str = "text") -> DataFrame:
     """(doc_id, gram, n, first): runs of ``size`` words that recur within a document as often as page furniture does.
-    The relational form of the cleaning step: rows of (document, gram) are counted, whole documents are never gathered."""
+    The relational form of the cleaning step: hashes of runs are counted by document, whole documents are never gathered;
+    the few runs that recur are looked up in their documents, and counted there again by their words."""
     w = docs.select("doc_id", X.words(F.col(text)).alias("w")).withColumn("n_words", F.size("w")).filter(F.col("n_words") >= 2 * size)
-    at = F.transform(F.sequence(F.lit(1), F.col("n_words") - size + 1), lambda i: F.struct(i.alias("pos"), F.array_join(F.slice("w", i, size), " ").alias("gram")))
-    grams = w.select("doc_id", "n_words", F.explode(at).alias("g")).groupBy("doc_id", "n_words", F.col("g.gram").alias("gram")).agg(F.count("*").alias("n"), F.min("g.pos").alias("first"))
+    run = lambda words, i: F.array_join(F.slice(words, i, size), " ")
+    starts = F.sequence(F.lit(1), F.col("n_words") - size + 1)
+    hashes = w.select("doc_id", "n_words", F.explode(F.transform(starts, lambda i: F.xxhash64(F.slice("w", i, size)))).alias("h"))
+    often = hashes.groupBy("doc_id", "n_words", "h").agg(F.count("*").alias("n")).filter(F.col("n") >= X.repeat_threshold(F.col("n_words")))
+    known = cut(often.groupBy("doc_id").agg(F.collect_set("h").alias("hs")))
+    again = w.join(if_small(known), "doc_id")
+    at = F.filter(F.transform(starts, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice("w", i, size)).alias("h"))), lambda x: F.array_contains("hs", x["h"]))
+    each = again.select("doc_id", "n_words", F.explode(F.transform(at, lambda x: F.struct(x["pos"].alias("pos"), run(F.col("w"), x["pos"]).alias("gram")))).alias("g"))
+    grams = each.groupBy("doc_id", "n_words", F.col("g.gram").alias("gram")).agg(F.count("*").alias("n"), F.min("g.pos").alias("first"))
     return grams.filter(F.col("n") >= X.repeat_threshold(F.col("n_words"))).select("doc_id", "gram", "n", "first")
 
 

@@ -91,18 +91,6 @@ def _top_k(vectors: DataFrame, asked: DataFrame, k: int, key: str, vector: str,
     return best.join(F.broadcast(names), "q").select(query, F.col("key").alias(key), "score", "rank")
 
 
-def widened_k(ranked: DataFrame, total: int, k: int = K, least_docs: int = 3, query: str = "query_id", doc: str = "doc_id") -> DataFrame:
-    """(query, k): the smallest k * 10**j whose candidates have ``least_docs`` different documents, or all rows.
-
-    ranked: (query, doc, rank) over all rows of a query."""
-    firsts = ranked.groupBy(query, doc).agg(F.min("rank").alias("first"))
-    nth = F.element_at(F.sort_array(F.collect_list("first")), least_docs)
-    need = firsts.withColumn("n", F.row_number().over(W.partitionBy(query).orderBy("first"))).filter(F.col("n") <= least_docs)
-    need = need.groupBy(query).agg(F.when(F.count("*") >= least_docs, nth).alias("need"))
-    steps = F.array(*[F.lit(min(total, k * WIDEN**j)) for j in range(10)])
-    return need.select(query, F.coalesce(F.array_min(F.filter(steps, lambda s: s >= F.col("need"))), F.lit(total)).alias("k"))
-
-
 def hashed_vector(text: str, size: int) -> np.ndarray:
     """A stand-in for a model: words hashed to signed components, length 1."""
     out = np.zeros(size, np.float32)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from papyrix.functions import text as X
 from papyrix.operators import checks, chunking, evaluation, graph, profile, ranking, vectors
 from papyrix.plans import retrieve
+from papyrix.session import cut, spread
 from papyrix.sources import html_page
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,7 +30,8 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in ("documents", "pages", "lineitem") else rows
 
 
 # SQL pieces
@@ -58,7 +60,7 @@ def query_vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hits(spark: SparkSession, d: str) -> DataFrame:
-    found = vectors.top_k(table(spark, d, "embeddings"), query_vectors(spark, d), 200)
+    found = cut(vectors.top_k(table(spark, d, "embeddings"), query_vectors(spark, d), 200))
     known = store(spark, d).drop("embedding")
     return found.join(known, "vec_id").join(F.broadcast(query_vectors(spark, d).select("query_id", "topic")), "query_id")
 
@@ -208,10 +210,13 @@ def chunk_documents(spark, d):
     return chunking.chunk_documents(docs, block="\n").select("doc_id", "chunk_id", "position", "num_tokens", "cut_level", "n_units", "text")
 
 
-@query("SELECT NULL::BIGINT AS doc_id, NULL::BOOLEAN AS without_chunks WHERE false")
+@query("SELECT doc_id, doc_id % 10 = 3 AS without_chunks FROM documents WHERE doc_id % 10 IN (3, 4) AND length(regexp_replace(text, '\\s', '', 'g')) > 0".replace("\\\\", "\\"))
 def chunk_coverage(spark, d):
+    """Documents that their chunks don't cover: none but those that lose all chunks, or a character, here."""
     docs = table(spark, d, "documents").withColumn("format", F.lit("txt"))
-    return checks.uncovered(docs, chunking.chunk_documents(docs, block="\n"))
+    chunks = chunking.chunk_documents(docs, block="\n").filter("doc_id % 10 <> 3")
+    spoiled = F.when((F.col("doc_id") % 10 == 4) & (F.col("position") == 0), F.concat("text", F.lit("x"))).otherwise(F.col("text"))
+    return checks.uncovered(docs, chunks.withColumn("text", spoiled))
 
 
 @query()
@@ -307,21 +312,22 @@ def vector_top10(spark, d):
     return found.select("query_id", "vec_id", F.round("score", 6).alias("score"), "rank")
 
 
-@query("SELECT NULL::VARCHAR AS query_id, NULL::BIGINT AS vec_id, NULL::DOUBLE AS score WHERE false")
+@query(f"""WITH v AS (SELECT * FROM embeddings WHERE vec_id % 100 <> 0), q AS (SELECT vec_id::VARCHAR AS query_id, embedding FROM embeddings WHERE vec_id % 50 = 0),
+s AS (SELECT query_id, vec_id, {DOT_SQL} AS score FROM v, q QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) = 1)
+SELECT query_id, vec_id, round(score, 6) AS score FROM s WHERE query_id <> vec_id::VARCHAR AND score < 0.9999""")
 def vector_self_search(spark, d):
+    """Vectors that aren't found first by themselves: every second query's own vector is taken out."""
     e = table(spark, d, "embeddings")
     asked = e.filter("vec_id % 50 = 0").select(F.col("vec_id").cast("string").alias("query_id"), "embedding")
-    return checks.not_first_of_itself(vectors.top_k(e, asked, 1))
+    return checks.not_first_of_itself(vectors.top_k(e.filter("vec_id % 100 <> 0"), asked, 1)).withColumn("score", F.round("score", 6))
 
 
 @query(f"""WITH {HITS_SQL}, f AS (SELECT query_id, printf('F%d-%s', h.label % 3 + 1, d.source) AS doc_id, min(rank) AS first FROM hits h JOIN documents d ON d.doc_id = h.vec_id GROUP BY ALL),
 n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY first) AS r FROM f), t AS (SELECT query_id, max(first) AS need FROM n WHERE r <= 3 GROUP BY query_id)
 SELECT query_id, CASE WHEN need <= 2 THEN 2 WHEN need <= 20 THEN 20 WHEN need <= 200 THEN 200 ELSE (SELECT count(*) FROM embeddings) END::INT AS k FROM t""")
 def adaptive_k(spark, d):
-    e = table(spark, d, "embeddings")
-    total = e.count()
-    ranked = vectors.top_k(e, query_vectors(spark, d), total).join(store(spark, d).select("vec_id", "doc_id"), "vec_id")
-    return vectors.widened_k(ranked, total, k=2).select("query_id", F.col("k").cast("int").alias("k"))
+    """The width at which each query's hits name three documents: only those queries go on that need a wider search."""
+    return retrieve.widths(store(spark, d), query_vectors(spark, d), k=2).select("query_id", F.col("k").cast("int").alias("k"))
 
 
 BOOSTED_SQL = """boosted AS (SELECT *, CASE WHEN starts_with(doc_id, 'F' || topic || '-') THEN score * 1.03::DOUBLE ELSE score END AS s1 FROM cand),
@@ -363,10 +369,58 @@ def fragments(spark, d):
     return ranking.select_fragments(boosted(spark, d)).withColumn("score", F.round("score", 6))
 
 
+#: A graph of the store: sources and languages, with the chunks that speak for each; a query asks for its own source.
+STORE_GRAPH_SQL = """f AS (SELECT 'SRC:' || d.source AS src, 'LNG:' || d.lang AS dst, d.doc_id AS ord, printf('c%06d', d.doc_id) AS chunk_id FROM documents d JOIN embeddings ON vec_id = d.doc_id WHERE d.source IS NOT NULL AND d.lang IS NOT NULL),
+s AS (SELECT src AS node, chunk_id, ord FROM f UNION ALL SELECT dst, chunk_id, ord FROM f), nc AS (SELECT node, chunk_id FROM s QUALIFY row_number() OVER (PARTITION BY node ORDER BY ord) <= 10),
+ec AS (SELECT src, dst, chunk_id FROM f QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY ord) <= 10), e AS (SELECT DISTINCT src, dst FROM f),
+g AS (SELECT node, 1 / log2(2 + count(*)) AS w FROM (SELECT src AS node FROM e UNION ALL SELECT dst FROM e) GROUP BY node),
+seeds AS (SELECT printf('q%03d', doc_id + 1) AS query_id, 'SRC:' || source AS node FROM documents JOIN embeddings ON vec_id = doc_id WHERE doc_id % 50 = 0),
+p AS (SELECT query_id, chunk_id, w AS part FROM seeds JOIN g USING (node) JOIN nc USING (node)
+    UNION ALL SELECT query_id, chunk_id, w FROM seeds JOIN g USING (node) JOIN ec ON ec.src = seeds.node
+    UNION ALL SELECT query_id, nc.chunk_id, g.w * 0.4::DOUBLE * o.w FROM seeds JOIN g USING (node) JOIN e ON e.src = seeds.node JOIN g o ON o.node = e.dst JOIN nc ON nc.node = e.dst),
+ev AS (SELECT query_id, chunk_id, least(1, weight) AS weight FROM (SELECT query_id, chunk_id, round(sum(part), 12) AS weight FROM p GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY weight DESC, chunk_id) <= 60)"""
+
+
+def store_evidence(spark: SparkSession, known: DataFrame) -> DataFrame:
+    """known: (vec_id, chunk_id, doc_id, source, language). Evidence of each query for chunks, from the graph of the store."""
+    f = cut(
+        known.filter("source is not null and language is not null").select(
+            F.col("source").alias("subject"), F.lit("SRC").alias("subject_type"), F.lit("en").alias("relation"), F.col("language").alias("object"), F.lit("LNG").alias("object_type"),
+            F.lit("").alias("evidence"), F.lit(False).alias("passive"), "doc_id", "chunk_id", F.col("vec_id").alias("ordinal"), F.concat(F.lit("SRC:"), "source").alias("src"), F.concat(F.lit("LNG:"), "language").alias("dst"),
+        )
+    )
+    seeds = known.filter("vec_id % 50 = 0").select(F.format_string("q%03d", F.col("vec_id") + 1).alias("query_id"), F.concat(F.lit("SRC:"), "source").alias("node"))
+    return graph.evidence(seeds, cut(graph.nodes(f, ["ordinal"])), cut(graph.edges(f, ["ordinal"])))
+
+
+def with_sources(spark: SparkSession, d: str) -> DataFrame:
+    return store(spark, d).withColumn("source", F.regexp_extract("doc_id", "^F[0-9]-(.*)$", 1))
+
+
+@query(f"""WITH {HITS_SQL}, {STORE_GRAPH_SQL}, r AS (SELECT query_id, vec_id FROM hits WHERE rank <= 200 UNION SELECT query_id, substr(chunk_id, 2)::BIGINT FROM ev),
+x AS (SELECT r.query_id, q.label % 3 + 1 AS topic, printf('F%d-%s', v.label % 3 + 1, d.source) AS doc_id, d.lang AS language, {DOT_SQL} * (1 + 0.03::DOUBLE * coalesce(weight, 0)) AS score
+    FROM r JOIN q USING (query_id) JOIN embeddings v USING (vec_id) JOIN documents d ON d.doc_id = vec_id LEFT JOIN ev ON ev.query_id = r.query_id AND ev.chunk_id = printf('c%06d', vec_id)),
+y AS (SELECT query_id, doc_id, score * CASE WHEN starts_with(doc_id, 'F' || topic || '-') THEN 1.03::DOUBLE ELSE 1 END * CASE WHEN language NOT IN ('es', 'en') THEN 0.97::DOUBLE ELSE 1 END AS s FROM x)
+SELECT query_id, doc_id, round(max(s), 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY max(s) DESC, doc_id)::INT AS rank FROM y GROUP BY query_id, doc_id QUALIFY rank <= 3""")
+def fused_documents(spark, d):
+    """Vector search, evidence of a graph, topic and language factors, then documents: the whole ranking."""
+    known = cut(with_sources(spark, d))
+    asked = query_vectors(spark, d)
+    found = ranking.fuse_graph(
+        retrieve.candidates(known, asked).select("query_id", "chunk_id", "doc_id", "score", "text", "language"), store_evidence(spark, known), known.select("chunk_id", "doc_id", "text", "language", "embedding"),
+        asked.select("query_id", F.col("embedding").alias("query_vector")), vectors.dot(F.col("embedding"), F.col("query_vector")),
+    )
+    found = ranking.topic_boost(found.join(F.broadcast(asked.select("query_id", "topic")), "query_id"))
+    return ranking.top_documents(ranking.language_factor(found)).withColumn("score", F.round("score", 6))
+
+
 @query()
 def retrieve_full(spark, d):
-    asked = query_vectors(spark, d).withColumn("text", F.lit(None).cast("string"))
-    out = retrieve.retrieve(store(spark, d), asked)
+    """From query vectors and texts to results, with the evidence of the store's graph."""
+    known = cut(with_sources(spark, d))
+    own = known.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("own"), "text")
+    asked = query_vectors(spark, d).join(own, "own")
+    out = retrieve.retrieve(known, asked, store_evidence(spark, known))
     return out.select("query_id", F.to_json("documents").alias("documents"), F.to_json("fragments").alias("fragments"))
 
 
@@ -449,7 +503,7 @@ def facts(spark: SparkSession, d: str) -> DataFrame:
 c AS (SELECT src, relation, dst, string_agg(chunk_id, ' ' ORDER BY n) AS chunk_ids FROM r WHERE n <= 10 GROUP BY ALL), f AS (SELECT src, relation, dst, count(*) AS weight, arg_min(doc_id, (ord, nth)) AS doc_id, arg_min(chunk_id, (ord, nth)) AS chunk_id FROM facts GROUP BY ALL)
 SELECT * FROM f JOIN c USING (src, relation, dst)""")
 def graph_edges(spark, d):
-    return graph.edges(facts(spark, d), ["ordinal"]).select("src", "relation", "dst", "weight", "doc_id", "chunk_id", F.array_join("chunk_ids", " ").alias("chunk_ids"))
+    return graph.edges(cut(facts(spark, d)), ["ordinal"]).select("src", "relation", "dst", "weight", "doc_id", "chunk_id", F.array_join("chunk_ids", " ").alias("chunk_ids"))
 
 
 @query(f"""WITH {FACTS_SQL}, s AS (SELECT src AS node, doc_id, chunk_id, ord, nth FROM facts UNION ALL SELECT dst, doc_id, chunk_id, ord, nth FROM facts),
@@ -457,7 +511,7 @@ o AS (SELECT node, chunk_id, min((ord, nth)) AS pos FROM s GROUP BY ALL), r AS (
 t AS (SELECT node, string_agg(DISTINCT substr(doc_id, 2, 1), '' ORDER BY substr(doc_id, 2, 1)) AS topics FROM s GROUP BY node)
 SELECT node, substr(node, 5) AS name, substr(node, 1, 3) AS type, topics, chunk_ids FROM t JOIN c USING (node)""")
 def graph_nodes(spark, d):
-    return graph.nodes(facts(spark, d), ["ordinal"]).select("node", "name", "type", "topics", F.array_join("chunk_ids", " ").alias("chunk_ids"))
+    return graph.nodes(cut(facts(spark, d)), ["ordinal"]).select("node", "name", "type", "topics", F.array_join("chunk_ids", " ").alias("chunk_ids"))
 
 
 @query(f"WITH {FACTS_SQL}, e AS (SELECT src AS node FROM edges UNION ALL SELECT dst FROM edges) SELECT node, count(*) AS degree, round(1 / log2(2 + count(*)), 6) AS weight FROM e GROUP BY node")
@@ -491,13 +545,24 @@ p AS (SELECT query_id, chunk_id, w AS part FROM seeds JOIN g USING (node) JOIN n
 t AS (SELECT query_id, chunk_id, round(sum(part), 6) AS weight FROM p GROUP BY ALL)
 SELECT query_id, count(*) AS chunks, round(max(least(1, weight)), 5) AS top FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY weight DESC, chunk_id) AS n FROM t) WHERE n <= 60 GROUP BY query_id""")
 def graph_evidence(spark, d):
-    f = facts(spark, d)
-    n, e = graph.nodes(f, ["ordinal"]), graph.edges(f, ["ordinal"])
+    f = cut(facts(spark, d))
+    n, e = cut(graph.nodes(f, ["ordinal"])), cut(graph.edges(f, ["ordinal"]))
     seeds = n.filter("type = 'LOC'").select(F.col("node").alias("query_id"), "node")
     found = graph.evidence(seeds, n, e)
     return found.groupBy("query_id").agg(F.count("*").alias("chunks"), F.round(F.max("weight"), 5).alias("top"))
 
 
+@query("""WITH w AS (SELECT DISTINCT lower(w) AS key FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]{4,}')) AS w FROM benchmark)), k AS (SELECT key, 'T:' || key AS node FROM w),
+d AS (SELECT DISTINCT doc_id::VARCHAR AS query_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS key FROM documents WHERE regexp_matches(text, '^[A-Za-z ,.\\x0a]*$')) SELECT query_id, node FROM d JOIN k USING (key)""".replace("\\\\", "\\"))
+def benchmark_links(spark, d):
+    """Words of the benchmark found literally in whole documents (those of letters, stops and commas only)."""
+    words = F.regexp_extract_all("text", F.lit("([A-Za-z]{4,})"), 1)
+    keys = table(spark, d, "benchmark").select(F.explode(words).alias("w")).select(F.lower("w").alias("key")).distinct().withColumn("node", F.concat(F.lit("T:"), "key"))
+    plain = table(spark, d, "documents").filter(F.col("text").rlike(r"^[A-Za-z ,.\n]*$"))
+    asked = plain.select(F.col("doc_id").cast("string").alias("query_id"), F.regexp_replace("text", "[,.]", " ").alias("text"))
+    return graph.literal_links(asked, keys, longest=1)
+
+
 @query("SELECT 'o' || n_nationkey AS query_id, 'LOC:' || lower(n_name) AS node FROM nation WHERE length(n_name) >= 4")
 def literal_links(spark, d):
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
@@ -510,18 +575,45 @@ def literal_links(spark, d):
 UNION ALL SELECT 'type', substr(node, 1, 3), count(*) FROM (SELECT DISTINCT src AS node FROM edges UNION SELECT dst FROM edges) GROUP BY 2
 UNION ALL (SELECT 'hub', node, count(*) AS n FROM (SELECT src AS node FROM edges UNION ALL SELECT dst FROM edges) GROUP BY node ORDER BY n DESC, node LIMIT 10)""")
 def graph_summary(spark, d):
-    f = facts(spark, d)
+    f = cut(facts(spark, d))
     e = f.groupBy("src", "relation", "dst").agg(F.count("*").alias("weight"))
     n = f.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("type", F.substring("node", 1, 3))
     return graph.summary(n, e)
 
 
-@query("""SELECT n_nationkey::VARCHAR AS doc_id, src, 'desarrolla' AS relation, 'ORG:arma antisatelite' AS dst, false AS passive FROM nation, (SELECT unnest(['ORG:china', 'ORG:otan']) AS src)
-UNION ALL SELECT n_nationkey::VARCHAR, 'ORG:brasil', 'firma', 'ORG:tnp', true FROM nation""")
+#: Sentence forms by number: what is said of a nation, and what follows from it.
+SAID = (
+    "{n} develops anti-satellite weapons.",
+    "Drones were developed by {n}.",
+    "{n} no desarrolla ASAT.",
+    "{n} y Rusia controlan drones.",
+    "{n} signed. The NPT is old.",
+    "{n} has the control of drones.",
+    "The NPT was signed by {n} and China.",
+)
+
+
+@query("""WITH n AS (SELECT n_nationkey, n_nationkey % 7 AS form, 'ORG:' || lower(n_name) AS node FROM nation), r AS (
+SELECT n_nationkey, node AS src, 'desarrolla' AS relation, 'ORG:arma antisatelite' AS dst, false AS passive FROM n WHERE form = 0
+UNION ALL SELECT n_nationkey, node, 'desarrolla', 'ORG:vehiculo aereo no tripulado', true FROM n WHERE form = 1
+UNION ALL SELECT n_nationkey, x, 'controla', 'ORG:vehiculo aereo no tripulado', false FROM n, unnest([node, 'ORG:rusia']) u(x) WHERE form = 3
+UNION ALL SELECT n_nationkey, x, 'firma', 'ORG:tnp', true FROM n, unnest([node, 'ORG:china']) u(x) WHERE form = 6)
+SELECT DISTINCT n_nationkey::VARCHAR AS doc_id,
+    CASE src WHEN 'ORG:united states' THEN 'ORG:estados unidos' WHEN 'ORG:united kingdom' THEN 'ORG:reino unido' WHEN 'ORG:brazil' THEN 'ORG:brasil' WHEN 'ORG:germany' THEN 'ORG:alemania' WHEN 'ORG:france' THEN 'ORG:francia'
+        WHEN 'ORG:japan' THEN 'ORG:japon' WHEN 'ORG:russia' THEN 'ORG:rusia' ELSE src END AS src, relation, dst, passive FROM r""")
 def relations_extract(spark, d):
-    """Entities and relations in a text about each nation."""
-    units = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("doc_id"), F.concat(F.lit("n#"), "n_nationkey").alias("chunk_id"), F.lit(1).alias("position"), F.concat(F.initcap("n_name"), F.lit(" asiste. La OTAN y China desarrollan armas antisatélite. The NPT was signed by Brazil. Rusia no desarrolla ASAT.")).alias("text"))
-    return graph.with_keys(graph.extract_triples(units)).select("doc_id", "src", "relation", "dst", "passive")
+    """Entities and relations in a sentence about each nation: active, passive, denied, coordinated, over a sentence's end,
+    behind a determiner."""
+    from papyrix.functions.names import ALIASES
+
+    n = table(spark, d, "nation").select("n_nationkey", F.initcap("n_name").alias("name"))
+    forms = F.array(*[F.lit(form) for form in SAID])
+    text = F.replace(F.element_at(forms, (F.col("n_nationkey") % len(SAID) + 1).cast("int")), F.lit("{n}"), F.col("name"))
+    units = n.select(F.col("n_nationkey").cast("string").alias("doc_id"), F.concat(F.lit("n#"), "n_nationkey").alias("chunk_id"), F.lit(1).alias("position"), text.alias("text"))
+    known = {form for name, forms in ALIASES.items() for form in (name, *forms)}
+    names = [r["name"] for r in n.select("name").collect()]
+    aliases = {**ALIASES, **{name: [] for name in names if name not in known}}
+    return graph.with_keys(graph.extract_triples(units, aliases)).select("doc_id", "src", "relation", "dst", "passive").distinct()
 
 
 def _zoneless(df: DataFrame) -> DataFrame:

@@ -2,32 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrix.operators import ranking, vectors
-from papyrix.session import cut
+from papyrix.session import cut, if_small
 
 
-def candidates(store: DataFrame, queries: DataFrame, k: int = vectors.K, key: str = "vec_id", least_docs: int = ranking.N_DOCUMENTS) -> DataFrame:
-    """store: key, chunk_id, doc_id, text, language, embedding. The search reads keys and vectors only; texts meet the
-    few hits afterwards. Queries whose hits name fewer than ``least_docs`` documents are searched again with WIDEN times
-    k, until they name so many or k is all rows."""
+def widening(store: DataFrame, queries: DataFrame, k: int, key: str, least_docs: int) -> Iterator[tuple[int, DataFrame, DataFrame]]:
+    """(k, hits, queries that these do for) of each round. Queries whose hits name fewer than ``least_docs`` documents are
+    searched again with WIDEN times k, until they name so many or k is all rows."""
     rows = store.filter(F.col("embedding").isNotNull()).count()
-    found = None
+    names = store.select(key, "doc_id")
     while True:
         hits = cut(vectors.top_k(store, queries, k, key).drop("rank"))
-        if k < rows:
-            named = hits.join(store.select(key, "doc_id"), key).groupBy("query_id").agg(F.count_distinct("doc_id").alias("n"))
-            enough = cut(named.filter(F.col("n") >= least_docs).select("query_id"))
-            queries = cut(queries.join(F.broadcast(enough), "query_id", "left_anti"))
-            hits = hits.join(F.broadcast(enough), "query_id", "left_semi")
-        found = hits if found is None else found.unionByName(hits)
-        if k >= rows or queries.isEmpty():
-            return found.join(store.select(key, "chunk_id", "doc_id", "text", "language"), key)
+        if k >= rows:
+            yield k, hits, queries.select("query_id")
+            return
+        named = hits.join(names, key).groupBy("query_id").agg(F.count_distinct("doc_id").alias("n"))
+        enough = cut(named.filter(F.col("n") >= least_docs).select("query_id"))
+        yield k, hits.join(if_small(enough), "query_id", "left_semi"), enough
+        queries = cut(queries.join(if_small(enough), "query_id", "left_anti"))
+        if queries.isEmpty():
+            return
         k = min(k * vectors.WIDEN, rows)
 
 
+def candidates(store: DataFrame, queries: DataFrame, k: int = vectors.K, key: str = "vec_id", least_docs: int = ranking.N_DOCUMENTS) -> DataFrame:
+    """store: key, chunk_id, doc_id, text, language, embedding. The search, as wide as each query needs it (see
+    widening), reads keys and vectors only; texts meet the few hits afterwards."""
+    found = None
+    for _, hits, _ in widening(store, queries, k, key, least_docs):
+        found = hits if found is None else found.unionByName(hits)
+    return found.join(store.select(key, "chunk_id", "doc_id", "text", "language"), key)
+
+
+def widths(store: DataFrame, queries: DataFrame, k: int = vectors.K, key: str = "vec_id", least_docs: int = ranking.N_DOCUMENTS) -> DataFrame:
+    """(query_id, k): the width that each query's search ends with."""
+    out = None
+    for width, _, enough in widening(store, queries, k, key, least_docs):
+        these = enough.withColumn("k", F.lit(width))
+        out = these if out is None else out.unionByName(these)
+    return out
+
+
 def retrieve(
     store: DataFrame,
     queries: DataFrame,

@@ -86,12 +86,40 @@ def test_search_is_exact(spark):
     assert vectors.bad_vectors(df, 8).count() == 0 and vectors.bad_vectors(df, 9).count() == 300
 
 
-def test_widened_k(spark):
-    rows = [("q", "A" if r < 201 else "B" if r < 210 else "C", r) for r in range(1, 301)]
-    ranked = spark.createDataFrame(rows, "query_id string, doc_id string, rank int")
-    assert vectors.widened_k(ranked, 5000).first()["k"] == 2000
-    assert vectors.widened_k(ranked, 300).first()["k"] == 300
-    assert vectors.widened_k(ranked.filter("doc_id = 'A'"), 300).first()["k"] == 300
+def test_widths(spark):
+    def width(n, only=None):
+        rows = [(r, f"c{r}", "A" if r < 201 else "B" if r < 210 else "C", "", None, [1.0 - r / 10000]) for r in range(1, n + 1)]
+        store = spark.createDataFrame(rows, "vec_id long, chunk_id string, doc_id string, text string, language string, embedding array<float>")
+        asked = spark.createDataFrame([("q", [1.0])], "query_id string, embedding array<float>")
+        return [r["k"] for r in retrieve.widths(store.filter(F.col("doc_id") == only) if only else store, asked).collect()]
+
+    assert width(2500) == [2000] and width(300) == [300] and width(300, "A") == [200]
+
+
+def test_many_queries_are_asked_in_passes(spark, monkeypatch):
+    df = spark.createDataFrame([(i, [float(i % 7), float(i % 11)]) for i in range(90)], "vec_id long, embedding array<float>").repartition(3)
+    asked = df.selectExpr("cast(vec_id as string) query_id", "embedding")
+    rows = lambda: sorted(map(tuple, vectors.top_k(df, asked, 4).collect()))
+    whole = rows()
+    monkeypatch.setattr(vectors, "MAX_QUERY_BYTES", 400)
+    assert rows() == whole and len(whole) == 360
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert rows() == whole
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_detector(spark, small):
+    from papyrix.functions import language
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    detector = language.Detector(language.gram_counts(docs.filter("doc_id % 5 <> 0")))
+    got = language.tag(docs.filter("doc_id % 5 = 0 and length(text) > 200"), detector).collect()
+    assert sum(r["lang"] == r["language"] for r in got) >= 0.95 * len(got) > 20
+    assert detector("too short") == (None, 0.0) and detector(None) == (None, 0.0) and language.Detector({})("a" * 60) == (None, 0.0)
+    grams, letters = language.codes("Añ, b")
+    assert [language.shown(int(g)) for g in grams] == [" añ", "añ ", "ñ b", " b "] and letters == 3
 
 
 def test_encode(spark):
