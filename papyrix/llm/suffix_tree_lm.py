@@ -11,8 +11,13 @@ with each its suffixes. Next-byte distributions are smoothed down the tree,
 P(x | s) = (n(s, x) + t(s) P(x | suffix)) / (n(s) + t(s)) with t(s) the number of different bytes seen behind s, from a
 uniform distribution at the root. A byte is scored in the state of the longest retained suffix of what stands before it.
 
-The tree goes to the executors, 16 bytes for each entry; the test alone decides its size, which grows with the training
-texts, more slowly than they do. Words are counted too, for the unigram base score: the most frequent ones, at most FREQUENT of them, are looked
+The divergence test alone decides the tree's size, which grows with the training texts, more slowly than they do. The tree
+goes to the executors in slices of at most ``slice_entries`` entries, about 16 bytes each. A slice holds the contexts that
+end in one range of byte pairs, with all their suffixes, so it scores the bytes behind these pairs exactly as the whole
+tree does. A tree of one slice is asked in one pass over the texts; a larger one in a pass for each slice over a written
+copy of the texts, and the scores of a text's slices are added. Only a single pair may exceed the bound.
+
+Words are counted too, for the unigram base score: the most frequent ones, at most FREQUENT of them, are looked
 up in a broadcast array of that bound, the few others of a document are joined with the table of counts.
 
 A null text is empty: it has the end token only. Null keys are in bucket 0. Rows that repeat are counted and scored each.
@@ -21,7 +26,7 @@ Without training texts each byte has probability 1/256 and the counts are 0. An
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +40,8 @@ from papyrix.llm.common import WordHashes, cut, ship, text_batches, words_of
 DEPTH = 5
 MIN_GAIN = 12.0
 FREQUENT = 1 << 19
+SLICE_ENTRIES = 1 << 22
+PAIRS = 1 << 16
 
 _U = np.uint64
 _END = b"\n"
@@ -202,10 +209,9 @@ def retained(gains: DataFrame, min_gain: float = MIN_GAIN) -> DataFrame:
     return kept.select("d", F.col("context").bitwiseAND(F.element_at(masks, F.col("d"))).alias("context")).distinct()
 
 
-def grow(grams: DataFrame, min_gain: float = MIN_GAIN) -> SuffixTree:
-    entries, gains = context_gains(grams)
-    of_retained = entries.join(retained(gains, min_gain), ["d", "context"], "left_semi")
-    got = entries.filter("d = 0").unionByName(of_retained).select("d", "key", "n").toArrow()
+def tree_of(entries: DataFrame) -> SuffixTree:
+    """entries: (d, key, n) of retained contexts, with their suffixes."""
+    got = entries.select("d", "key", "n").toArrow()
     d, key, n = (got[c].to_numpy() for c in ("d", "key", "n"))
     tables = []
     for depth in range(DEPTH + 1):
@@ -215,6 +221,34 @@ def grow(grams: DataFrame, min_gain: float = MIN_GAIN) -> SuffixTree:
     return SuffixTree(tables)
 
 
+def pair(key):
+    """The two bytes before the last one."""
+    return F.shiftrightunsigned(key, 8).bitwiseAND(F.lit(PAIRS - 1))
+
+
+def slices(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """Ranges [low, high) of pairs that cover all of them, given the number of entries of each pair that has any; a range
+    has at most ``most`` entries, unless a single pair has more."""
+    edges, inside = [0], 0
+    for at, n in sorted(sizes):
+        if inside and inside + n > most:
+            edges.append(at)
+            inside = 0
+        inside += n
+    return list(zip(edges, [*edges[1:], PAIRS]))
+
+
+def grow(grams: DataFrame, min_gain: float = MIN_GAIN, slice_entries: int = SLICE_ENTRIES) -> list[tuple[int, int, Callable[[], SuffixTree]]]:
+    """The tree's slices: (low, high, what makes the tree that scores bytes behind pairs from low to below high)."""
+    entries, gains = context_gains(grams)
+    of_retained = cut(entries.join(retained(gains, min_gain), ["d", "context"], "left_semi").select("d", "key", "n"))
+    # contexts of up to one byte are suffixes of any: 257 contexts at most, which all slices have
+    short = entries.filter("d = 0").select("d", "key", "n").unionByName(of_retained.filter("d = 1"))
+    long = of_retained.filter("d > 1")
+    sizes = [(r["pair"], r["n"]) for r in long.groupBy(pair("key").alias("pair")).agg(F.count("*").alias("n")).collect()]
+    return [(low, high, lambda low=low, high=high: tree_of(short.unionByName(long.filter(pair("key").between(low, high - 1))))) for low, high in slices(sizes, slice_entries)]
+
+
 def frequent_words(words: DataFrame, most: int = FREQUENT) -> DataFrame:
     """(value, n) of the words whose count is so high that at most ``most`` words have it."""
     by_count = words.groupBy("n").agg(F.count("*").alias("words"))
@@ -222,24 +256,49 @@ def frequent_words(words: DataFrame, most: int = FREQUENT) -> DataFrame:
     return words.join(F.broadcast(reached.agg(F.min("n").alias("least"))), F.col("n") >= F.col("least")).select("value", "n")
 
 
-def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", min_gain: float = MIN_GAIN, frequent: int = FREQUENT) -> DataFrame:
+def sliced_scores(rows: DataFrame, made: tuple[int, int, Callable[[], SuffixTree]]) -> DataFrame:
+    """rows: (row, text). The part of each row's score that one slice of the tree gives: (row, score)."""
+    low, high, tree = made
+    shipped = ship(rows.sparkSession, tree())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = GramScores(shipped())
+        for piece in text_batches(batches, _PIECE):
+            s = stream(v.as_py() for v in piece.column(1))
+            different, at = np.unique(s.grams, return_inverse=True)
+            before = different >> _U(8) & _U(PAIRS - 1)
+            own = (before >= _U(low)) & (before < _U(high))
+            logs = np.zeros(len(different))
+            logs[own] = scores.of(different[own])
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(np.add.reduceat(logs[at], s.starts), pa.float64())], ["row", "score"])
+
+    return rows.mapInArrow(run, "row bigint, score double")
+
+
+def score(
+    docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", min_gain: float = MIN_GAIN, frequent: int = FREQUENT, slice_entries: int = SLICE_ENTRIES
+) -> DataFrame:
     """One row per document of ``docs``: key, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     counted = cut(counts(training, text))
-    tree = grow(counted.filter(F.col("kind") == _KIND_GRAM).select("value", "n"), min_gain)
+    parts = grow(counted.filter(F.col("kind") == _KIND_GRAM).select("value", "n"), min_gain, slice_entries)
     words = counted.filter(F.col("kind") == _KIND_WORD).select("value", "n")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("types")).first()
     often = frequent_words(words, frequent).toArrow()
     order = np.argsort(often["value"].to_numpy().view(_U))
-    shipped = ship(spark, (tree, often["value"].to_numpy().view(_U)[order], np.log10(often["n"].to_numpy()[order] + 1.0)))
+    whole = parts[0][2]() if len(parts) == 1 else None
+    shipped = ship(spark, (whole, often["value"].to_numpy().view(_U)[order], np.log10(often["n"].to_numpy()[order] + 1.0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, values, logs = shipped()
-        hashes, scores = WordHashes(), GramScores(tree)
+        hashes, scores = WordHashes(), GramScores(tree) if tree else None
         for piece in text_batches(batches, _PIECE):
             s = stream(v.as_py() for v in piece.column(1))
-            different, at = np.unique(s.grams, return_inverse=True)
-            logp = np.add.reduceat(scores.of(different)[at], s.starts)
+            if scores:
+                different, at = np.unique(s.grams, return_inverse=True)
+                logp = np.add.reduceat(scores.of(different)[at], s.starts)
+            else:
+                logp = np.zeros(len(s.words))
             tokens, known, base, rare = [], [], [], []
             for w in s.words:
                 h = hashes.of([*w, _END])
@@ -249,13 +308,27 @@ def score(docs: DataFrame, training: DataFrame, key: str = "doc_id", text: str =
                 known.append(int(found.sum()))
                 base.append(float(logs[where[found]].sum()))
                 rare.append(h[~found].view(np.int64))
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(logp, pa.float64()), pa.array(rare, pa.list_(pa.int64()))], ["key", "n_tokens", "known", "logs", "score", "rare"])
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(0), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(logp, pa.float64()), pa.array(rare, pa.list_(pa.int64())), *piece.columns[2:]],
+                ["key", "n_tokens", "known", "logs", "score", "rare", *piece.schema.names[2:]],
+            )
 
     kind = docs.schema[key].dataType.simpleString()
-    made = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n_tokens bigint, known bigint, logs double, score double, rare array<bigint>")
-    made = cut(made.withColumn("row", F.monotonically_increasing_id()))
+    asked = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    if whole is None:
+        # rows keep their number over the passes
+        asked = cut(asked.withColumn("row", F.monotonically_increasing_id()))
+    numbered = "" if whole else ", row bigint"
+    made = asked.mapInArrow(run, f"key {kind}, n_tokens bigint, known bigint, logs double, score double, rare array<bigint>{numbered}")
+    made = cut(made if numbered else made.withColumn("row", F.monotonically_increasing_id()))
     others = made.select("row", F.explode("rare").alias("value")).join(words, "value").groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_logs"))
     out = made.drop("rare").join(others, "row", "left")
+    if whole is None:
+        sums = None
+        for part in parts:
+            of_part = cut(sliced_scores(asked.select("row", "text"), part))
+            sums = of_part if sums is None else sums.unionByName(of_part)
+        out = out.drop("score").join(sums.groupBy("row").agg(F.sum("score").alias("score")), "row")
     tokens = int(size["tokens"])
     base = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(tokens + size["types"] + 1)))
     return out.select(F.col("key").alias(key), "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(tokens).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score")

@@ -232,9 +232,29 @@ def test_every_context_that_passes_is_retained(spark):
     entries, gains = T.context_gains(rows.select(value.cast("bigint").alias("value"), F.lit(100).cast("bigint").alias("n")))
     passing = {(r["d"], r["context"]) for r in gains.filter(F.col("gain") >= 12.0).collect()}
     assert len(passing) > 1 << 16
-    tree = T.grow(rows.select(value.cast("bigint").alias("value"), F.lit(100).cast("bigint").alias("n")), 12.0)
-    kept = {(d, int(c)) for d, of in enumerate(tree.contexts) for c in of}
+    grams = rows.select(value.cast("bigint").alias("value"), F.lit(100).cast("bigint").alias("n"))
+    [(_, _, tree)] = T.grow(grams, 12.0)
+    kept = {(d, int(c)) for d, of in enumerate(tree().contexts) for c in of}
     assert passing <= kept
+    parts = [(low, high, tree()) for low, high, tree in T.grow(grams, 12.0, slice_entries=60_000)]
+    assert len(parts) > 2 and all(sum(map(len, t.keys[2:])) <= 60_000 for _, _, t in parts)
+    assert kept == {(d, int(c)) for _, _, t in parts for d, of in enumerate(t.contexts) for c in of}
+
+
+def test_slices_of_the_tree_score_as_the_whole(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["the", "then", "Café", "x", "abab"], k=rng.randint(0, 30))) for _ in range(60)] + [None, "", "the then" * 400]
+    docs = docs_of(spark, texts)
+    whole = sorted(map(tuple, T.score(docs, docs, min_gain=3.0).collect()))
+    for most in (1, 40):
+        parts = T.grow(T.counts(docs, "text").filter("kind = 0").select("value", "n"), 3.0, most)
+        assert len(parts) > 2 and parts[0][0] == 0 and parts[-1][1] == T.PAIRS and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+    # few slices, since each is a pass
+    most = max(40, sum(len(k) for k in T.grow(T.counts(docs, "text").filter("kind = 0").select("value", "n"), 3.0)[0][2]().keys) // 3)
+    sliced = sorted(map(tuple, T.score(docs, docs, min_gain=3.0, slice_entries=most).collect()))
+    assert len(sliced) == len(whole)
+    for a, b in zip(whole, sliced):
+        assert a == pytest.approx(b)
 
 
 # Pages
