@@ -103,16 +103,19 @@ def merge_by_key(node_rows: DataFrame, edge_rows: DataFrame, limit: int = MAX_EV
         F.min_by("name", order).alias("name"),
         F.min_by("type", order).alias("type"),
         F.array_join(F.array_sort(F.array_distinct(F.filter(F.split(F.array_join(F.sort_array(F.collect_set("topics")), ""), ""), lambda c: c != ""))), "").alias("topics"),
-        F.slice(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("node", F.coalesce("chunk_ids", F.array().cast("array<string>")).alias("c")))), lambda x: x["c"]))), 1, limit).alias("chunk_ids"),
         F.sort_array(F.collect_set("name")).alias("variants"),
     )
+    listed = _firsts(new.select("new", "node", F.posexplode("chunk_ids").alias("at", "chunk_id")), ["new"], "chunk_id", ["node", "at"], limit, "chunk_ids")
+    none = F.array().cast("array<string>")
+    merged = merged.join(listed, "new", "left").withColumn("chunk_ids", F.coalesce("chunk_ids", none))
     merged = merged.select(F.col("new").alias("node"), "name", "type", "topics", "chunk_ids", F.size("chunk_ids").alias("n_chunks"), "variants", F.size("variants").alias("n_variants"))
     to = new.select("node", "new")
     moved = edge_rows.join(to.withColumnRenamed("node", "src"), "src").drop("src").withColumnRenamed("new", "src").join(to.withColumnRenamed("node", "dst"), "dst").drop("dst").withColumnRenamed("new", "dst")
     moved = moved.filter("src <> dst")
     first = F.min(F.struct("doc_id", "chunk_id", "evidence", "passive"))
-    all_chunks = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "chunk_id", F.coalesce("chunk_ids", F.array().cast("array<string>")).alias("c")))), lambda x: x["c"]))
-    joined = moved.groupBy("src", "relation", "dst").agg(F.sum("weight").alias("weight"), first.alias("_f"), F.slice(F.array_distinct(all_chunks), 1, limit).alias("chunk_ids"))
+    keys = ["src", "relation", "dst"]
+    listed = _firsts(moved.select(*keys, "doc_id", F.col("chunk_id").alias("first_chunk"), F.posexplode("chunk_ids").alias("at", "chunk_id")), keys, "chunk_id", ["doc_id", "first_chunk", "at"], limit, "chunk_ids")
+    joined = moved.groupBy(*keys).agg(F.sum("weight").alias("weight"), first.alias("_f")).join(listed, keys, "left").withColumn("chunk_ids", F.coalesce("chunk_ids", none))
     return merged, joined.select("src", "relation", "dst", "weight", "_f.doc_id", "_f.chunk_id", "chunk_ids", "_f.evidence", "_f.passive")
 
 
