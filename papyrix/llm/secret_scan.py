@@ -7,11 +7,13 @@ of the rule begins at its end or later. That is leftmost, longest, non-overlappi
 
 A match is dropped, but still covers its text, if the part behind its head (a prefix expression) is shorter than the
 rule asks for. Spans are in code points of the whole text, end exclusive. A null or empty text has no spans. Rows that
-repeat are scanned each. An empty table gives an empty result. Memory is bounded by the longest text.
+repeat are scanned each. An empty table gives an empty result. Memory is bounded by the
+longest text: at most 16 bytes for each of its bytes, and its spans.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -58,25 +60,27 @@ class Scanner:
         self.matches = [Dfa([t], search=False) for t in trees]
         self.heads = [Dfa([parse(r.head, r.fold)], search=False) if r.head else None for r in self.rules]
 
-    def marked(self, data: bytes) -> list[tuple[int, int]]:
-        """(position, state) where some rule's match begins, from the last to the first."""
+    def marked(self, data: bytes) -> tuple[array, array]:
+        """Positions where some rule's match begins, from the last to the first, and the automaton's states there: 16 bytes
+        a mark, however many there are."""
         table, accepting, state, n = self.starts.table, self.starts.accepting, 0, len(data) - 1
-        found = []
-        for i, c in enumerate(data.translate(self.starts.classes)[::-1]):
+        positions, states = array("q"), array("q")
+        for i, c in enumerate(reversed(data.translate(self.starts.classes))):
             state = table[state + c]
             if state >= accepting:
-                found.append((n - i, state))
-        return found
+                positions.append(n - i)
+                states.append(state)
+        return positions, states
 
     def byte_spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, rule, end) in bytes, ordered."""
-        found = self.marked(data)
-        if not found:
+        positions, states = self.marked(data)
+        if not positions:
             return []
         free = [0] * len(self.rules)
         columns: dict[int, bytes] = {}
         out = []
-        for at, state in reversed(found):
+        for at, state in zip(reversed(positions), reversed(states)):
             for rule in self.starts.accepts[state // self.starts.width]:
                 if at < free[rule]:
                     continue

@@ -63,6 +63,22 @@ def test_secret_query(spark, small):
         assert [got[f"n_{k}"] for k in ("assign", "access", "hex")] == [sum(s[0] == k for s in base) for k in ("assign", "access", "hex")]
 
 
+def test_secret_long_runs():
+    scanner = S.scanner()
+    positions, states = scanner.marked(b"0123456789abcdef" * 20_000)
+    assert len(positions) > 300_000 and positions.itemsize + states.itemsize == 16
+    assert scanner.spans("x" + "0123456789abcdef" * 20_000 + "-" + "ab" * 8) == [("hex", 1, 320_001), ("hex", 320_002, 320_018)]
+
+
+def test_secret_rows(spark):
+    """Rows that repeat are scanned each; other columns may be named like the operator's own."""
+    row = (1, "token=abcdefghijkl", "s", "k", 2)
+    docs = spark.createDataFrame([row, row, (None, None, None, None, None)], "doc_id long, text string, secrets string, key string, start int")
+    assert [(r["doc_id"], [tuple(x) for x in r["secrets"]]) for r in S.scan(docs).orderBy("doc_id").collect()] == [(None, []), (1, [("assign", 0, 18)]), (1, [("assign", 0, 18)])]
+    assert S.redact(docs).columns == docs.columns
+    assert S.scan(docs.limit(0)).count() == 0
+
+
 def test_secret_edges(spark):
     key = "token = 'abcdefghijklmnop'"
     out = {r["doc_id"]: r for r in S.digest(S.scan(docs_of(spark, [None, "", f"é {key}", "a" * 100_000 + key]))).collect()}
