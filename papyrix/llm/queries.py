@@ -74,8 +74,14 @@ _HOST = "translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEF
 _PATH = "coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '')"
 
 
-def _last_labels(host: str, n: int) -> str:
-    return f"array_to_string(list_slice(string_split({host}, '.'), -{n}, -1), '.')"
+_SITE = r"regexp_replace({0}, '^[^@]*@|:\d*$', '', 'g')"
+_TWO_LABELS = f"({', '.join(repr(x) for x in url_filter.SUFFIXES)})"
+
+
+def _last_labels(site: str, more: int) -> str:
+    """The suffix and ``more`` labels before it."""
+    last = lambda n: f"array_to_string(list_slice(string_split({site}, '.'), -{n}, -1), '.')"
+    return f"CASE WHEN {last(2)} IN {_TWO_LABELS} THEN {last(2 + more)} ELSE {last(1 + more)} END"
 
 
 def _shrunk_sql(name: str, keys: str, parents: str, on: str) -> str:
@@ -134,18 +140,19 @@ z AS (SELECT doc_id, size, source_size, target, whole + CASE WHEN inside OR coal
 SELECT doc_id, size, source_size, target, (size * reps)::BIGINT AS taken FROM z""",
     "op9_url_filter": f"""
 WITH p AS (SELECT page_id, {_HOST} AS host, {_PATH} AS path FROM pages),
-counts AS (SELECT host, {_last_labels("host", 2)} AS domain, {_last_labels("host", 1)} AS suffix, count(*) AS n, sum(1 - quality)::DOUBLE AS bad
-    FROM p JOIN labels ON p.page_id = labels.doc_id WHERE quality IS NOT NULL GROUP BY ALL),
+sites AS (SELECT page_id, host AS full_host, path, {_SITE.format("host")} AS host FROM p),
+counts AS (SELECT host, {_last_labels("host", 1)} AS domain, {_last_labels("host", 0)} AS suffix, count(*) AS n, sum(1 - quality)::DOUBLE AS bad
+    FROM sites JOIN labels ON sites.page_id = labels.doc_id WHERE quality IS NOT NULL GROUP BY ALL),
 root AS (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0) AS mean FROM counts),
 {_shrunk_sql("sfx", "suffix", "root", "ON true")},
 {_shrunk_sql("dom", "domain, suffix", "sfx_3", "USING (suffix)")},
 {_shrunk_sql("hst", "host, domain", "dom_3", "USING (domain)")},
 known AS (SELECT 'suffix' AS level, suffix AS name, mean, total FROM sfx_3 UNION ALL SELECT 'domain', domain, mean, total FROM dom_3 UNION ALL SELECT 'host', host, mean, total FROM hst_3),
 bounds AS (SELECT level, name, mean - 1.64 * sqrt(mean * (1 - mean) / (total + 1)) AS bound FROM known),
-j AS (SELECT p.*, coalesce(h.bound, d.bound, s.bound) AS bound FROM p
+j AS (SELECT page_id, full_host AS host, path, coalesce(h.bound, d.bound, s.bound) AS bound FROM sites p
     LEFT JOIN bounds h ON h.level = 'host' AND h.name = p.host
-    LEFT JOIN bounds d ON d.level = 'domain' AND d.name = {_last_labels("p.host", 2)}
-    LEFT JOIN bounds s ON s.level = 'suffix' AND s.name = {_last_labels("p.host", 1)}),
+    LEFT JOIN bounds d ON d.level = 'domain' AND d.name = {_last_labels("p.host", 1)}
+    LEFT JOIN bounds s ON s.level = 'suffix' AND s.name = {_last_labels("p.host", 0)}),
 m AS (SELECT *, CASE
     WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
     WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'

@@ -1,7 +1,8 @@
 """URL filtering by rules and by the empirical-Bayes reputation of hosts, in DataFrame functions only.
 
-A page's outcome is good (0) or bad (1). Outcomes are counted by host, by registered domain (last two labels) and by
-suffix (last label). Bad rates are shrunk down the hierarchy by beta-binomial priors: the suffix's posterior mean, from
+A page's outcome is good (0) or bad (1). Outcomes are counted by host, by registered domain and by suffix. For these
+levels a host goes without user and port. The suffix is the last label, or one of SUFFIXES if the host ends in it; the
+registered domain has one label more. Bad rates are shrunk down the hierarchy by beta-binomial priors: the suffix's posterior mean, from
 a prior at the corpus rate, is the mean of the prior of its domains, and theirs of their hosts'. Each level's prior
 strength is estimated by moments from how much the rates at that level spread around their parents' (empirical Bayes),
 within STRENGTH. A host is blocked if the lower bound (mean - Z standard deviations) of its posterior bad rate is above
@@ -36,6 +37,12 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
+# Suffixes of two labels under which different owners register.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "ac.jp", "ne.jp", "or.jp", "co.kr", "com.cn", "com.hk", "com.tw",
+    "com.sg", "co.in", "co.id", "co.za", "com.br", "org.br", "com.ar", "com.mx", "com.co", "com.pe", "com.tr", "com.ua", "blogspot.com", "wordpress.com",
+    "github.io", "gitlab.io",
+)
 STRENGTH = (2.0, 200.0)
 Z = 1.64
 LIMIT = 0.5
@@ -49,12 +56,19 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, "://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def domain_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+def site_of(host: Column) -> Column:
+    """The host without user and port."""
+    return F.regexp_replace(host, r"^[^@]*@|:\d*$", "")
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def suffix_of(site: Column) -> Column:
+    two = F.substring_index(site, ".", -2)
+    return F.when(two.isin(*SUFFIXES), two).otherwise(F.substring_index(site, ".", -1))
+
+
+def domain_of(site: Column) -> Column:
+    two = F.substring_index(site, ".", -2)
+    return F.when(two.isin(*SUFFIXES), F.substring_index(site, ".", -3)).otherwise(two)
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] = RULES) -> Column:
@@ -83,8 +97,8 @@ def _shrunk(level: DataFrame, parents: DataFrame, on: list[str], name: str) -> D
 
 
 def host_reputation(labelled: DataFrame, z: float = Z) -> DataFrame:
-    """labelled: (host, bad 0/1). One row per labelled host, domain and suffix: level, name, mean, bound."""
-    counts = cut(labelled.filter("bad is not null").groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").cast("double").alias("bad")))
+    """labelled: (host, bad 0/1). One row per labelled site (level host), domain and suffix: level, name, mean, bound."""
+    counts = cut(labelled.filter("bad is not null").groupBy(site_of(F.col("host")).alias("host")).agg(F.count("*").alias("n"), F.sum("bad").cast("double").alias("bad")))
     counts = counts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
     root = counts.agg(F.coalesce(F.sum("bad") / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.0)).alias("mean")).withColumn("root", F.lit(1))
     suffixes = cut(_shrunk(_level(counts, ["suffix"]).withColumn("root", F.lit(1)), root, ["root"], "suffix"))
@@ -100,11 +114,12 @@ def judge(pages: DataFrame, outcomes: DataFrame, key: str = "page_id", url: str
     labelled = parsed.select("_key", "host").join(outcomes.select(F.col(key).alias("_key"), F.col("bad")), "_key")
     known = cut(host_reputation(labelled, z))
     # the levels meet at distinct hosts; pages are joined once, by host
-    hosts = parsed.groupBy("host").agg(F.count("*").alias("_pages")).withColumn("suffix", suffix_of(F.col("host"))).withColumn("domain", domain_of(F.col("host")))
-    for level in ("host", "domain", "suffix"):
-        side = known.filter(F.col("level") == level).select(F.col("name").alias(level), F.struct("mean", "bound").alias(f"_{level}"))
-        hosts = hosts.join(side, level, "left")
-    found = cut(hosts.select("host", "_pages", F.coalesce("_host", "_domain", "_suffix").alias("_found")))
+    site = site_of(F.col("host"))
+    hosts = parsed.groupBy("host").agg(F.count("*").alias("_pages")).select("*", site.alias("_site"), domain_of(site).alias("_domain"), suffix_of(site).alias("_suffix"))
+    for level, name in (("host", "_site"), ("domain", "_domain"), ("suffix", "_suffix")):
+        side = known.filter(F.col("level") == level).select(F.col("name").alias(name), F.struct("mean", "bound").alias(f"_by_{level}"))
+        hosts = hosts.join(side, name, "left")
+    found = cut(hosts.select("host", "_pages", F.coalesce("_by_host", "_by_domain", "_by_suffix").alias("_found")))
     out = join_counted(parsed, found, ["host"], "_pages")
     match = matching_rule(F.col("host"), F.col("path"), rules)
     out = out.withColumn("_match", match)

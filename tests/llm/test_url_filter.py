@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from papyrix.llm import url_filter as U
 from papyrix.llm.queries import ORACLES, QUERIES
@@ -41,6 +42,33 @@ def test_few_labels_shrink(spark):
     assert rows["suffix", "org"] < rows["domain", "a.org"] < rows["host", "one.a.org"] < 1
 
 
+def test_sites(spark):
+    hosts = ["www.shop.co.uk:8080", "me:pw@a.b.com", "x.github.io", "co.uk", "com", "", "1.2.3.4:80"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").withColumn("site", U.site_of(F.col("host")))
+    got = [tuple(r) for r in df.select("site", U.domain_of(F.col("site")), U.suffix_of(F.col("site"))).collect()]
+    assert got == [("www.shop.co.uk", "shop.co.uk", "co.uk"), ("a.b.com", "b.com", "com"), ("x.github.io", "x.github.io", "github.io"), ("co.uk", "co.uk", "co.uk"), ("com", "com", "com"), ("", "", ""), ("1.2.3.4", "3.4", "4")]
+
+
+def test_owners_under_one_suffix(spark):
+    """Owners under co.uk have reputations of their own; ports share their site's."""
+    pages = [(i, f"http://w{i % 3}.bad.co.uk:80{i % 2}/{i}") for i in range(60)] + [(100 + i, f"http://w{i % 3}.good.co.uk/{i}") for i in range(60)] + [(200, "http://new.bad.co.uk:9/"), (201, "http://new.good.co.uk/")]
+    labels = [(i, 1) for i in range(50)] + [(100 + i, 0) for i in range(50)]
+    out = {r["page_id"]: r for r in U.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int")).collect()}
+    assert out[200]["verdict"] == "block" and out[201]["verdict"] == "allow" and out[55]["verdict"] == "block"
+    assert len({out[i]["bad_rate"] for i in (0, 3)}) == 1 and out[0]["host"] == "w0.bad.co.uk:800"
+
+
+def test_edges(spark):
+    """Empty tables, very long urls, repeated rows, columns named like the operator's own."""
+    schema = "page_id long, url string, host string, _key int, bad int"
+    none = spark.createDataFrame([], "page_id long, bad int")
+    assert U.judge(spark.createDataFrame([], schema), none).count() == 0
+    long = "http://example.com/en/" + "x" * 1_000_000
+    row = (1, long, "h", 2, 3)
+    got = U.judge(spark.createDataFrame([row, row, (None, None, None, None, None)], schema), none).collect()
+    assert sorted((r["page_id"] or 0, r["rule"], r["verdict"], len(r["path"])) for r in got)[1:] == [(1, "example.com/en/", "block", 1_000_004)] * 2
+
+
 @pytest.mark.parametrize("name", ["op1_near_dedup", "op6_decontaminate", "op7_mixture", "op9_url_filter", "op10_exact_dedup"])
 def test_queries_equal_their_sql(spark, small, name):
     con = duckdb.connect()
