@@ -28,3 +28,12 @@ def test_different_reads_each_side_once(spark, small):
     found = checks.different(rows((1, 3), (2, 1), (3, 1)), rows((1, 1), (3, 1), (4, 2)))
     assert sorted(map(tuple, found.collect())) == [(1, "x", "first"), (1, "x", "first"), (2, "x", "first"), (4, "x", "second"), (4, "x", "second")]
     assert plan(entry.queries()["different_runs"](spark, small)).count("Relation [") == 2
+
+
+#: 400 words without a sentence's end, in which marks stand inside words and behind them.
+LONG = " ".join(f"w{i} 3.{i} a:{i};b" if i % 50 else f"end{i}; x" for i in range(1, 140))
+
+
+def test_chunks_keep_words_with_marks_inside():
+    assert " ".join(c.text for c in S.chunks(LONG)).split() == LONG.split()
+    assert sum(c.num_tokens for c in S.chunks(LONG, budget=50)) == len(LONG.split())
