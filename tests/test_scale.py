@@ -37,3 +37,9 @@ LONG = " ".join(f"w{i} 3.{i} a:{i};b" if i % 50 else f"end{i}; x" for i in range
 def test_chunks_keep_words_with_marks_inside():
     assert " ".join(c.text for c in S.chunks(LONG)).split() == LONG.split()
     assert sum(c.num_tokens for c in S.chunks(LONG, budget=50)) == len(LONG.split())
+
+
+def test_fragments_keep_words_with_marks_inside():
+    parts = S.limited(LONG, 50)
+    assert " ".join(parts).split() == LONG.split() and max(len(p.split()) for p in parts) <= 50
+    assert any(p.endswith("end50;") for p in parts)
