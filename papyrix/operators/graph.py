@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 
 from papyrix.functions import relations as R
 from papyrix.functions.names import ALIASES, INITIALS_SKIP, alias_keys, name_key_column
-from papyrix.functions.text import heads, is_plural_of, may_be_acronym
+from papyrix.functions.text import heads, is_plural_of, may_be_acronym, once
 from papyrix.operators.flat import flat_map
-from papyrix.session import cut
+from papyrix.session import cut, if_small
 
 MAX_EVIDENCE, MAX_VARIANTS, NEIGHBOUR, MAX_CHUNKS = 10, 8, 0.4, 60
 MIN_KEY = 4
@@ -156,15 +156,22 @@ def link(entities: DataFrame, node_rows: DataFrame, keys: DataFrame, known: Mapp
 
 def literal_links(queries: DataFrame, keys: DataFrame, longest: int = 12, least: int = MIN_KEY) -> DataFrame:
     """(query_id, node): nodes one of whose keys is a run of whole words of the query's key. The query's runs of up to
-    ``longest`` words are joined by equality; longer keys, if any, are looked up by containment in the few queries."""
+    ``longest`` words are joined by equality; longer keys, if there are any, are looked up by containment."""
     asked = queries.select("query_id", name_key_column("text").alias("asked"))
-    w = F.split("asked", " ")
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.size(w), F.lit(longest))), lambda n: F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))))
-    each = asked.select("query_id", F.explode(F.array_distinct(runs)).alias("key"))
-    usable = keys.filter(F.length("key") >= least)
-    short = each.join(usable, "key").select("query_id", "node")
-    long = usable.filter(F.size(F.split("key", " ")) > longest).join(asked, F.concat(F.lit(" "), F.col("asked"), F.lit(" ")).contains(F.concat(F.lit(" "), F.col("key"), F.lit(" ")))).select("query_id", "node")
-    return short.unionByName(long).distinct()
+    usable = cut(keys.filter(F.length("key") >= least).select("key", "node"))
+
+    def runs(w: Column) -> Column:
+        of = lambda n: F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.size(w), F.lit(longest))), of))
+
+    found = F.array_distinct(F.filter(once(F.split("asked", " "), runs), lambda run: F.length(run) >= least))
+    each = asked.select("query_id", F.explode(found).alias("key"))
+    out = each.join(if_small(usable), "key").select("query_id", "node")
+    long = usable.filter(F.size(F.split("key", " ")) > longest)
+    if not long.isEmpty():
+        within = F.concat(F.lit(" "), F.col("asked"), F.lit(" ")).contains(F.concat(F.lit(" "), F.col("key"), F.lit(" ")))
+        out = out.unionByName(asked.join(if_small(long), within).select("query_id", "node"))
+    return out.distinct()
 
 
 def evidence(seeds: DataFrame, node_rows: DataFrame, edge_rows: DataFrame, chunk_ids: DataFrame | None = None, most: int = MAX_CHUNKS, neighbour: float = NEIGHBOUR) -> DataFrame:

@@ -43,3 +43,13 @@ def test_fragments_keep_words_with_marks_inside():
     parts = S.limited(LONG, 50)
     assert " ".join(parts).split() == LONG.split() and max(len(p.split()) for p in parts) <= 50
     assert any(p.endswith("end50;") for p in parts)
+
+
+def test_links_split_a_text_once(spark):
+    asked = spark.createDataFrame([("q1", "what does alpha beta buy"), ("q2", "alpha"), ("q3", None), ("q4", "a alpha b c d beta")], "query_id string, text string")
+    keys = spark.createDataFrame([("alpha", "A"), ("alpha beta", "AB"), ("alpha b c d beta", "L"), ("buy", "B")], "key string, node string")
+    want = [("q1", "A"), ("q1", "AB"), ("q2", "A"), ("q4", "A"), ("q4", "L")]
+    for longest in (2, 12):
+        assert sorted(map(tuple, graph.literal_links(asked, keys, longest=longest).collect())) == want
+    few = graph.literal_links(asked, keys.filter("key <> 'alpha b c d beta'"), longest=2)
+    assert plan(few).count("split(") == 1 and sorted(map(tuple, few.collect())) == want[:-1]
