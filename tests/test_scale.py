@@ -53,3 +53,37 @@ def test_links_split_a_text_once(spark):
         assert sorted(map(tuple, graph.literal_links(asked, keys, longest=longest).collect())) == want
     few = graph.literal_links(asked, keys.filter("key <> 'alpha b c d beta'"), longest=2)
     assert plan(few).count("split(") == 1 and sorted(map(tuple, few.collect())) == want[:-1]
+
+
+def test_search_holds_a_bounded_number_of_pairs():
+    rng = np.random.default_rng(1)
+    q, v = rng.standard_normal((3000, 16)), rng.standard_normal((10000, 16))
+    tracemalloc.start()
+    rows, keys, scores = vectors.best_of(q, iter([(np.arange(10000), v)]), 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 << 20  # all products are 240 MB
+    order = np.argsort(-(q[:50] @ v.T), axis=1, kind="stable")[:, :20]
+    assert (keys[rows < 50].reshape(50, 20) == order).all() and len(rows) == 20 * 3000
+
+
+def test_equal_vectors_tie_and_hold_k(spark):
+    rng = np.random.default_rng(2)
+    q, one = rng.standard_normal((7, 64)), rng.standard_normal((1, 64))
+    names = np.arange(5000)[::-1]
+    rows, keys, scores = vectors.best_of(q, ((names[i : i + 700], np.repeat(one, len(names[i : i + 700]), 0)) for i in range(0, 5000, 700)), 5)
+    assert keys.tolist() == [0, 1, 2, 3, 4] * 7 and len(set(scores.tolist())) == 7
+    assert vectors.best_of(q, iter([]), 5) is None
+    assert vectors.best_of(q, iter([(np.array(["b", "a"], object), one.repeat(2, 0))]), 1)[1].tolist() == ["a"] * 7
+
+
+@pytest.mark.parametrize("held", (1, 30, 1000))
+def test_passes_give_the_same_hits(spark, monkeypatch, held):
+    rows = [(i, [float((i * 7) % 11), float(i % 5), 1.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = df.filter("vec_id < 6").select(F.col("vec_id").cast("string").alias("query_id"), "embedding")
+    monkeypatch.setattr(vectors, "MAX_HELD", held)
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in vectors.top_k(df, asked, 10).collect()}
+    for i in range(6):
+        want = sorted(range(60), key=lambda j: (-sum(a * b for a, b in zip(rows[i][1], rows[j][1])), j))[:10]
+        assert [got[str(i), n] for n in range(1, 11)] == want
