@@ -87,3 +87,14 @@ def test_passes_give_the_same_hits(spark, monkeypatch, held):
     for i in range(6):
         want = sorted(range(60), key=lambda j: (-sum(a * b for a, b in zip(rows[i][1], rows[j][1])), j))[:10]
         assert [got[str(i), n] for n in range(1, 11)] == want
+
+
+def test_judgements_of_others_are_not_shuffled(spark):
+    from papyrix.operators import evaluation as E
+
+    run = spark.createDataFrame([("q1", "a", 1), ("q1", "z", 2), ("q2", "b", 1)], "query_id string, doc_id string, rank int")
+    qrels = spark.createDataFrame([("q1", "a", 1), ("q1", "b", 2), ("q1", "b2", 2), ("q1", "c", 1), ("q2", "c", 0)], "query_id string, doc_id string, grade int")
+    found = E.ndcg(run, qrels, 3)
+    want = 1 / (2 + 2 / np.log2(3) + 1 / 2)
+    assert {r["query_id"]: round(r["ndcg"], 9) for r in found.collect()} == {"q1": round(want, 9), "q2": 0.0}
+    assert "row_number" not in plan(found) and "LeftSemi" in plan(found)
