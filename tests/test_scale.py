@@ -98,3 +98,14 @@ def test_judgements_of_others_are_not_shuffled(spark):
     want = 1 / (2 + 2 / np.log2(3) + 1 / 2)
     assert {r["query_id"]: round(r["ndcg"], 9) for r in found.collect()} == {"q1": round(want, 9), "q2": 0.0}
     assert "row_number" not in plan(found) and "LeftSemi" in plan(found)
+
+
+def test_no_more_relevant_documents_are_counted_than_matter(spark):
+    from papyrix.operators import evaluation as E
+
+    run = spark.createDataFrame([("q1", "a", 1), ("q1", "z", 2), ("q2", "b", 1), ("q3", "b", 1)], "query_id string, doc_id string, rank int")
+    qrels = spark.createDataFrame([("q1", d, 2) for d in "aabcdef"] + [("q2", "b", 2), ("q2", "b", 3), ("q2", "c", 2), ("q2", "d", 1)], "query_id string, doc_id string, grade int")
+    found = E.precision_recall_f1(run, qrels, 3, 2)
+    got = {r["query_id"]: (round(r["precision"], 6), round(r["recall"], 6)) for r in found.collect()}
+    assert got == {"q1": (0.333333, 0.333333), "q2": (0.333333, 0.5), "q3": (0.333333 * 0, 0.0)}
+    assert "dense_rank" in plan(found)
