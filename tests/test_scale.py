@@ -109,3 +109,11 @@ def test_no_more_relevant_documents_are_counted_than_matter(spark):
     got = {r["query_id"]: (round(r["precision"], 6), round(r["recall"], 6)) for r in found.collect()}
     assert got == {"q1": (0.333333, 0.333333), "q2": (0.333333, 0.5), "q3": (0.333333 * 0, 0.0)}
     assert "dense_rank" in plan(found)
+
+
+def test_cleaning_sends_few_texts_to_python_at_once(spark, small):
+    from papyrix.session import ARROW_ROWS
+
+    spark.conf.set(ARROW_ROWS, "10000")
+    entry.queries()["clean_documents"](spark, small)
+    assert int(spark.conf.get(ARROW_ROWS)) <= 500
