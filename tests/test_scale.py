@@ -117,3 +117,13 @@ def test_cleaning_sends_few_texts_to_python_at_once(spark, small):
     spark.conf.set(ARROW_ROWS, "10000")
     entry.queries()["clean_documents"](spark, small)
     assert int(spark.conf.get(ARROW_ROWS)) <= 500
+
+
+#: Queries over chunks of 50 words: names, and how often their plan may split texts into slices.
+CHUNKED = {"count_mismatch": 2}
+
+
+@pytest.mark.parametrize("name", CHUNKED)
+def test_chunk_queries_split_each_text_once(spark, small, name):
+    made = [line for line in plan(entry.queries()[name](spark, small)).split("\n") if "posexplode(" in line]
+    assert len(made) == CHUNKED[name] and all(line.count("split(") == 1 for line in made)
