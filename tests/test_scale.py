@@ -120,7 +120,7 @@ def test_cleaning_sends_few_texts_to_python_at_once(spark, small):
 
 
 #: Queries over chunks of 50 words: names, and how often their plan may split texts into slices.
-CHUNKED = {"count_mismatch": 2, "without_bibliographies": 2, "bad_records": 1, "misaligned_records": 2, "bad_positions": 1}
+CHUNKED = {"count_mismatch": 2, "without_bibliographies": 2, "bad_records": 1, "misaligned_records": 2, "bad_positions": 1, "long_fragments": 1}
 
 
 @pytest.mark.parametrize("name", CHUNKED)
