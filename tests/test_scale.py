@@ -127,3 +127,11 @@ CHUNKED = {"count_mismatch": 2, "without_bibliographies": 2, "bad_records": 1, "
 def test_chunk_queries_split_each_text_once(spark, small, name):
     made = [line for line in plan(entry.queries()[name](spark, small)).split("\n") if "posexplode(" in line]
     assert len(made) == CHUNKED[name] and all(line.count("split(") == 1 for line in made)
+
+
+def test_words_are_split_without_a_class_of_ranges(spark):
+    space = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+    texts = [*(f"{s}a{s}{s}\U0001f600 b\u200b{s}" for s in space), space, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", X.words(F.col("t")).alias("w"))
+    assert [r["w"] for r in df.orderBy("i").collect()] == [["a", "\U0001f600", "b\u200b"]] * len(space) + [[], [], None]
+    assert "x09" not in plan(df) and "lambda" not in plan(df)
