@@ -63,12 +63,13 @@ def recogniser_units(chunks: DataFrame, budget: int = segment.NER_BUDGET) -> Dat
 
 
 def without_bibliographies(chunks: DataFrame, first: int = 1200) -> DataFrame:
-    """Tabular documents go whose first chunk begins like a bibliographic dump."""
+    """Tabular documents go whose first chunk begins like a bibliographic dump. No text is shuffled."""
     dumps = (
         chunks.filter(F.col("format").isin(*X.TABULAR))
+        .select("doc_id", "position", F.substring("text", 1, first).rlike(BIBLIOGRAPHY).alias("dump"))
         .groupBy("doc_id")
-        .agg(F.min_by("text", "position").alias("head"))
-        .filter(F.substring("head", 1, first).rlike(BIBLIOGRAPHY))
+        .agg(F.min_by("dump", "position").alias("dump"))
+        .filter("dump")
         .select("doc_id")
     )
     return chunks.join(dumps, "doc_id", "left_anti")

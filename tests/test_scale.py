@@ -135,3 +135,14 @@ def test_words_are_split_without_a_class_of_ranges(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", X.words(F.col("t")).alias("w"))
     assert [r["w"] for r in df.orderBy("i").collect()] == [["a", "\U0001f600", "b\u200b"]] * len(space) + [[], [], None]
     assert "x09" not in plan(df) and "lambda" not in plan(df)
+
+
+def test_no_text_is_shuffled_to_find_bibliographies(spark):
+    from papyrix.operators import chunking
+
+    rows = [(1, "csv", 0, "PMID: 1"), (1, "csv", 1, "a"), (2, "csv", 0, "a"), (2, "csv", 1, "PMID: 1"), (3, "txt", 0, "PMID: 1"), (4, "csv", 0, None)]
+    df = spark.createDataFrame(rows, "doc_id long, format string, position int, text string")
+    found = chunking.without_bibliographies(df)
+    assert sorted((r["doc_id"], r["position"]) for r in found.collect()) == [(2, 0), (2, 1), (3, 0), (4, 0)]
+    made = [line for line in plan(found).split("\n") if "Aggregate" in line]
+    assert made and "min_by(dump" in made[0]
