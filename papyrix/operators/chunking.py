@@ -36,15 +36,20 @@ def systematic(df: DataFrame, step: int, key: str = "doc_id") -> DataFrame:
     return with_row_number(df, key).filter(F.col("row_number") % step == 0).drop("row_number")
 
 
+#: How monotonically_increasing_id counts: the partition, then 33 bits of the row's place in it.
+_PLACES = 33
+
+
 def with_row_number(df: DataFrame, *keys: str) -> DataFrame:
-    """row_number from 0 in order of the keys. Rows are dealt into ranges; only one count per range meets in one task.
-    The ranges are drawn from a sample that differs from plan to plan, so they are written once and used twice."""
+    """row_number from 0 in order of the keys. Rows are dealt into ranges and sorted there; only one count per range meets in
+    one task. The ranges are drawn from a sample that differs from plan to plan, so they are written once, with each row's
+    range and place in it, and used twice."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut(df.repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id()))
+    ranged = cut(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("_range", F.shiftright("_at", _PLACES).cast("int")).withColumn("_inside", F.col("_at").bitwiseAND((1 << _PLACES) - 1))
     sizes = ranged.groupBy("_range").count()
     starts = sizes.select(F.col("_range").alias("_r"), (F.sum("count").over(W.orderBy("_range")) - F.col("count")).alias("_start"))
-    inside = F.row_number().over(W.partitionBy("_range").orderBy(*keys)) - 1
-    return ranged.withColumn("_inside", inside).join(F.broadcast(starts), F.col("_range") == F.col("_r")).withColumn("row_number", F.col("_start") + F.col("_inside")).drop("_range", "_r", "_start", "_inside")
+    return ranged.join(F.broadcast(starts), F.col("_range") == F.col("_r")).withColumn("row_number", F.col("_start") + F.col("_inside")).drop("_at", "_range", "_r", "_start", "_inside")
 
 
 def split_sentences(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -146,3 +146,14 @@ def test_no_text_is_shuffled_to_find_bibliographies(spark):
     assert sorted((r["doc_id"], r["position"]) for r in found.collect()) == [(2, 0), (2, 1), (3, 0), (4, 0)]
     made = [line for line in plan(found).split("\n") if "Aggregate" in line]
     assert made and "min_by(dump" in made[0]
+
+
+def test_row_numbers_come_without_a_window_over_rows(spark):
+    from papyrix.operators import chunking
+
+    df = spark.range(5000).selectExpr("pmod(id * 7919, 5000) * 2 as k", "id % 3 as other", "repeat('x', 20) as text")
+    found = chunking.with_row_number(df, "k")
+    assert found.columns == ["k", "other", "text", "row_number"] and found.filter("row_number * 2 <> k").count() == 0 and found.count() == 5000
+    assert "row_number(" not in plan(found)
+    twice = chunking.with_row_number(spark.range(10).selectExpr("id % 2 as k"), "k").collect()
+    assert sorted(r["row_number"] for r in twice) == list(range(10)) and all(r["k"] == r["row_number"] // 5 for r in twice)
