@@ -10,6 +10,7 @@ import __spark_entry__ as entry
 from papyrix.functions import segment as S
 from papyrix.functions import text as X
 from papyrix.operators import checks, graph, vectors
+from papyrix.plans import queries as registered
 
 
 def plan(df) -> str:
@@ -111,6 +112,21 @@ def test_no_more_relevant_documents_are_counted_than_matter(spark):
     assert "dense_rank" in plan(found)
 
 
+def test_judgements_of_classes_equal_those_of_pairs(spark, small):
+    from papyrix.operators import evaluation as E
+
+    run = spark.createDataFrame([("q1", "a", 1), ("q1", "z", 2), ("q1", "f", 3), ("q2", "b", 1), ("q3", "b", 1)], "query_id string, doc_id string, rank int")
+    documents = spark.createDataFrame([("a", 1), ("b", 1), ("b", 3), ("c", 2), ("d", 2), ("e", 2), ("f", 2), ("g", None)], "doc_id string, class int")
+    asked = spark.createDataFrame([("q1", 1, 2), ("q1", 2, 1), ("q2", 1, 2), ("q2", 3, 2), ("q2", 2, 1), ("q3", 9, 2)], "query_id string, class int, grade int")
+    classes, pairs = E.ByClass(documents, asked), documents.join(asked, "class").select("query_id", "doc_id", "grade")
+    for least in (1, 2):
+        for n in (1, 2, 3, 10):
+            assert sorted(E.precision_recall_f1(run, classes, n, least).collect()) == sorted(E.precision_recall_f1(run, pairs, n, least).collect())
+            assert sorted(E.ndcg(run, classes, n).collect()) == sorted(E.ndcg(run, pairs, n).collect())
+    assert "windowspecdefinition(class#" in plan(E.precision_recall_f1(run, classes, 3, 2))
+    assert isinstance(registered.qrels(spark, small), E.ByClass)
+
+
 def test_cleaning_sends_few_texts_to_python_at_once(spark, small):
     from papyrix.session import ARROW_ROWS
 
