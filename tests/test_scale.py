@@ -127,6 +127,14 @@ def test_judgements_of_classes_equal_those_of_pairs(spark, small):
     assert isinstance(registered.qrels(spark, small), E.ByClass)
 
 
+def test_both_runs_come_from_one_search(spark, small, monkeypatch):
+    asked = []
+    search = vectors.top_k
+    monkeypatch.setattr(vectors, "top_k", lambda *a, **k: asked.append(1) or search(*a, **k))
+    assert entry.queries()["run_difference"](spark, small).columns == ["query_id", "doc_changes", "docs_lost"]
+    assert len(asked) == 1
+
+
 def test_cleaning_sends_few_texts_to_python_at_once(spark, small):
     from papyrix.session import ARROW_ROWS
 
