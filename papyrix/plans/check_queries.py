@@ -82,8 +82,8 @@ c AS (SELECT doc_id, chunk_id, CASE WHEN doc_id % 10 = 1 AND position = 0 THEN N
 
 
 def clean_chunks(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.posexplode(X.hard_slices(F.col("text"), 50)).alias("position", "text"))
-    return docs.select("doc_id", chunking.chunk_id(F.col("doc_id").cast("string"), F.col("position")).alias("chunk_id"), "source", F.lit("txt").alias("format"), (F.pmod("doc_id", F.lit(3)) + 1).alias("phenomenon"), F.col("lang").alias("language"), "position", X.word_count(F.col("text")).alias("num_tokens"), "text")
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.posexplode(X.counted_slices(F.col("text"), 50)).alias("position", "slice"))
+    return docs.select("doc_id", chunking.chunk_id(F.col("doc_id").cast("string"), F.col("position")).alias("chunk_id"), "source", F.lit("txt").alias("format"), (F.pmod("doc_id", F.lit(3)) + 1).alias("phenomenon"), F.col("lang").alias("language"), "position", F.col("slice.n_words").alias("num_tokens"), "slice.text")
 
 
 def chunks(spark: SparkSession, d: str) -> DataFrame:

@@ -147,6 +147,13 @@ def test_cleaning_sends_few_texts_to_python_at_once(spark, small):
 CHUNKED = {"count_mismatch": 2, "without_bibliographies": 2, "bad_records": 1, "misaligned_records": 2, "bad_positions": 1, "long_fragments": 1}
 
 
+def test_words_of_slices_are_not_counted_again(spark, small):
+    df = spark.createDataFrame([(1, "\u3000a b\nc  d e f g "), (2, "a b c"), (3, None), (4, " ")], "i int, t string")
+    got = df.select("i", X.counted_slices(F.col("t"), 3).alias("s")).orderBy("i").collect()
+    assert [[tuple(s) for s in r["s"]] for r in got] == [[("a b c", 3), ("d e f", 3), ("g", 1)], [("a b c", 3)], [], []]
+    assert plan(entry.queries()["bad_records"](spark, small)).count("split(") == 1
+
+
 @pytest.mark.parametrize("name", CHUNKED)
 def test_chunk_queries_split_each_text_once(spark, small, name):
     made = [line for line in plan(entry.queries()[name](spark, small)).split("\n") if "posexplode(" in line]
