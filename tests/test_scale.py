@@ -147,6 +147,14 @@ def test_cleaning_sends_few_texts_to_python_at_once(spark, small):
 CHUNKED = {"count_mismatch": 2, "without_bibliographies": 2, "bad_records": 1, "misaligned_records": 2, "bad_positions": 1, "long_fragments": 1}
 
 
+def test_no_text_is_shuffled_to_compare_records(spark):
+    records = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", None), ("d", None), ("e", ""), ("only", "x"), ("g", None)], "chunk_id string, texto string")
+    chunks = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", None), ("d", ""), ("e", ""), ("more", "x"), ("more2", None)], "chunk_id string, text string")
+    found = checks.misaligned(records, chunks)
+    assert sorted(r["chunk_id"] for r in found.collect()) == ["b", "d", "more", "only"]
+    assert plan(found).count("sha2(") == 2 and "chunk#" in plan(found)
+
+
 def test_words_of_slices_are_not_counted_again(spark, small):
     df = spark.createDataFrame([(1, "\u3000a b\nc  d e f g "), (2, "a b c"), (3, None), (4, " ")], "i int, t string")
     got = df.select("i", X.counted_slices(F.col("t"), 3).alias("s")).orderBy("i").collect()
