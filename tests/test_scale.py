@@ -90,6 +90,26 @@ def test_passes_give_the_same_hits(spark, monkeypatch, held):
         assert [got[str(i), n] for n in range(1, 11)] == want
 
 
+def test_a_task_of_the_search_holds_little():
+    rng = np.random.default_rng(3)
+    most, k = vectors.MAX_HELD, 200
+    q, v = rng.standard_normal((most // k, 16)), rng.standard_normal((6000, 16))
+    tracemalloc.start()
+    rows, keys, scores = vectors.best_of(q, iter([(np.arange(6000), v)]), k)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(rows) == len(q) * k and peak < 100 << 20
+    order = np.argsort(-(q[:20] @ v.T), axis=1, kind="stable")[:, :k]
+    assert (keys[rows < 20].reshape(20, k) == order).all()
+
+
+def test_passes_share_one_ranking(spark, monkeypatch):
+    df = spark.range(60).selectExpr("id as vec_id", "array(float(id % 7), 1f) as embedding")
+    monkeypatch.setattr(vectors, "MAX_HELD", 30)
+    found = vectors.top_k(df, df.filter("vec_id < 6").selectExpr("string(vec_id) as query_id", "embedding"), 10)
+    assert plan(found).count("MapInArrow") == 2 and plan(found).count("Window [") == 1
+
+
 def test_judgements_of_others_are_not_shuffled(spark):
     from papyrix.operators import evaluation as E
 
