@@ -100,7 +100,7 @@ def select_fragments(candidates: DataFrame, queries: DataFrame | None = None, n:
     cap, if there are fewer than n. Queries' candidates are few (top-k), so one task holds those of a query.
     """
     asked = queries.select("query_id", F.col("text").alias("query")) if queries is not None else candidates.select("query_id").distinct().withColumn("query", F.lit(None).cast("string"))
-    rows = candidates.select("query_id", "chunk_id", "doc_id", F.col("score").cast("double").alias("score"), "text").join(F.broadcast(asked), "query_id", "left")
+    rows = candidates.select("query_id", "chunk_id", "doc_id", F.col("score").cast("double").alias("score"), "text").join(asked, "query_id", "left")
 
     def pick(got: pa.Table) -> pa.Table:
         rows = sorted(got.to_pylist(), key=lambda r: (-r["score"], r["chunk_id"]))

@@ -155,6 +155,16 @@ def test_both_runs_come_from_one_search(spark, small, monkeypatch):
     assert len(asked) == 1
 
 
+@pytest.mark.parametrize("name", ("fused_documents", "retrieve_full"))
+def test_texts_of_the_store_are_not_written_again(spark, small, monkeypatch, name):
+    written = []
+    real = registered.cut
+    monkeypatch.setattr(registered, "cut", lambda df: written.append(df.columns) or real(df))
+    found = entry.queries()[name](spark, small)
+    assert found.count() and [c for c in written if "embedding" in c and "source" in c]
+    assert not [c for c in written if "text" in c and "own" not in c]
+
+
 def test_cleaning_sends_few_texts_to_python_at_once(spark, small):
     from papyrix.session import ARROW_ROWS
 
