@@ -37,7 +37,10 @@ def terms(text: str | None) -> set[str]:
 
 def best_part(parts: list[str], query: str | None) -> str:
     """The part with most terms of the query, the first of those; the first if the query has none."""
-    asked = terms(query)
+    return _best_for(parts, terms(query))
+
+
+def _best_for(parts: list[str], asked: set[str]) -> str:
     return max(parts, key=lambda p: len(asked & terms(p))) if asked and len(parts) > 1 else parts[0] if parts else ""
 
 
@@ -103,24 +106,7 @@ def select_fragments(candidates: DataFrame, queries: DataFrame | None = None, n:
     rows = candidates.select("query_id", "chunk_id", "doc_id", F.col("score").cast("double").alias("score"), "text").join(asked, "query_id", "left")
 
     def pick(got: pa.Table) -> pa.Table:
-        rows = sorted(got.to_pylist(), key=lambda r: (-r["score"], r["chunk_id"]))
-        chosen, taken, seen, out = [], {}, set(), set()
-        for cap in (per_document, None):
-            for r in rows:
-                if len(chosen) == n:
-                    break
-                if r["chunk_id"] in out or (cap and taken.get(r["doc_id"], 0) >= cap):
-                    continue
-                part = best_part(limited(r["text"] or "", limit), r["query"]).strip()
-                if not part:
-                    continue
-                out.add(r["chunk_id"])
-                key = " ".join(part.split())
-                if key not in seen:
-                    seen.add(key)
-                    taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + 1
-                    chosen.append({**r, "text": part})
-        chosen.sort(key=lambda r: (-r["score"], r["chunk_id"]))
+        chosen = _chosen(got.to_pylist(), n, per_document, limit)
         final = [{"query_id": r["query_id"], "rank": i, "chunk_id": r["chunk_id"], "doc_id": r["doc_id"], "text": r["text"], "score": r["score"]} for i, r in enumerate(chosen, 1)]
         return pa.Table.from_pylist(final, schema=pa.schema([got.schema.field("query_id"), ("rank", pa.int32()), ("chunk_id", pa.string()), ("doc_id", pa.string()), ("text", pa.string()), ("score", pa.float64())]))
 
@@ -128,6 +114,33 @@ def select_fragments(candidates: DataFrame, queries: DataFrame | None = None, n:
     return rows.groupBy("query_id").applyInArrow(pick, schema)
 
 
+def _chosen(rows: list[dict], n: int, per_document: int | None, limit: int) -> list[dict]:
+    """The rows of one query that are reported, in order of rank, with their best parts. The query's terms and each
+    different text are looked at once: copies have the same part."""
+    rows = sorted(rows, key=lambda r: (-r["score"], r["chunk_id"]))
+    asked = {q: terms(q) for q in {r["query"] for r in rows}}
+    chosen, taken, seen, out, parts = [], {}, set(), set(), {}
+    for cap in (per_document, None):
+        for r in rows:
+            if len(chosen) == n:
+                break
+            if r["chunk_id"] in out or (cap and taken.get(r["doc_id"], 0) >= cap):
+                continue
+            of = (r["text"] or "", r["query"])
+            if of not in parts:
+                parts[of] = _best_for(limited(of[0], limit), asked[of[1]]).strip()
+            part = parts[of]
+            if not part:
+                continue
+            out.add(r["chunk_id"])
+            key = " ".join(part.split())
+            if key not in seen:
+                seen.add(key)
+                taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + 1
+                chosen.append({**r, "text": part})
+    return sorted(chosen, key=lambda r: (-r["score"], r["chunk_id"]))
+
+
 def dedup_keep_first(rows: DataFrame, key: Column, order: list[str | Column], by: tuple[str, ...] = (), limit: int | None = None) -> DataFrame:
     """Of rows with one key the first stays; of what stays, the first ``limit`` of each group."""
     out = rows.withColumn("_key", key).withColumn("_n", F.row_number().over(W.partitionBy(*by, "_key").orderBy(*order))).filter("_n = 1")

@@ -165,6 +165,19 @@ def test_texts_of_the_store_are_not_written_again(spark, small, monkeypatch, nam
     assert not [c for c in written if "text" in c and "own" not in c]
 
 
+def test_copies_and_the_query_are_looked_at_once(monkeypatch):
+    from papyrix.operators import ranking
+
+    cuts, looks = [], []
+    cut, terms = ranking.limited, ranking.terms
+    monkeypatch.setattr(ranking, "limited", lambda *a: cuts.append(a) or cut(*a))
+    monkeypatch.setattr(ranking, "terms", lambda t: looks.append(t) or terms(t))
+    rows = [{"chunk_id": f"c{i:02d}", "doc_id": f"d{i % 2}", "score": 1.0, "text": f"text {i // 20}", "query": "asked"} for i in range(60)]
+    found = ranking._chosen(rows, 10, 2, 250)
+    assert [(r["chunk_id"], r["text"]) for r in found] == [("c00", "text 0"), ("c20", "text 1"), ("c41", "text 2")]
+    assert len(cuts) == 3 and looks.count("asked") == 1
+
+
 def test_cleaning_sends_few_texts_to_python_at_once(spark, small):
     from papyrix.session import ARROW_ROWS
 
